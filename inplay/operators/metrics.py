@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from inplay.functions import as_label, safe_ratio, threshold_label
-from inplay.operators.prefix import following, running_totals
+from inplay.operators.prefix import running_totals
 from inplay.schema import THRESHOLD
 
 # Metric columns and their report names, in report order.
@@ -55,11 +55,15 @@ def _cells(top: float, bottom: float) -> list[Column]:
 
 
 def cumulative_counts(scored: DataFrame, score: str = "p", label: str = "label", by: Sequence[str] = (),
-                      span: tuple[float, float] = (0.0, 1.0)) -> DataFrame:
-    """Per distinct score: its counts, the counts at or above it (``tps``, ``fps``) and the totals."""
+                      span: tuple[float, float] = (0.0, 1.0), ahead: bool = False) -> DataFrame:
+    """Per distinct score: its counts, the counts at or above it (``tps``, ``fps``) and the totals.
+
+    With ``ahead`` also the counts of the next lower score.
+    """
     counts = score_counts(scored, score, label, by)
+    following = {"next_pos": F.col("pos"), "next_neg": F.col("neg")} if ahead else None
     return running_totals(counts, {"tps": F.col("pos"), "fps": F.col("neg")}, _cells(span[1], span[0]),
-                          [F.desc("score")], by, grand_suffix="_all")
+                          [-F.col("score")], by, grand_suffix="_all", ahead=following)
 
 
 def evaluation(scored: DataFrame, score: str = "p", label: str = "label", threshold: float = THRESHOLD,
@@ -118,11 +122,9 @@ def roc_curve(scored: DataFrame, score: str = "p", label: str = "label", by: Seq
     the point then lies on the line between its neighbours. The points of the highest and lowest score
     always stay.
     """
-    c = cumulative_counts(scored, score, label, by, span)
+    c = cumulative_counts(scored, score, label, by, span, ahead=drop_intermediate)
     first = (F.col("tps") == F.col("pos")) & (F.col("fps") == F.col("neg"))
     if drop_intermediate:
-        c = following(c, {"next_pos": F.col("pos"), "next_neg": F.col("neg")}, _cells(span[1], span[0]),
-                      -F.col("score"), by)
         repeats = F.col("next_pos").eqNullSafe(F.col("pos")) & F.col("next_neg").eqNullSafe(F.col("neg"))
         kept = first | ~repeats
     else:

@@ -36,7 +36,7 @@ class TableClassifier(Estimator, _TableParams, DefaultParamsReadable, DefaultPar
         super().__init__()
         defaults = TablePreprocessor()
         self._setDefault(numericCols=[], categoricalCols=[], references=defaults.getOrDefault("references"),
-                         outputCol="features", labelCol=LABEL_COLUMN, strength=1.0, maxIter=1000, tol=1e-9)
+                         outputCol="features", labelCol=LABEL_COLUMN, strength=1.0, maxIter=1000, tol=1e-7)
         self._set(**self._input_kwargs)
 
     def preprocessor(self) -> TablePreprocessor:

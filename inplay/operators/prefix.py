@@ -31,10 +31,6 @@ def _with_cells(df: DataFrame, levels: Sequence[Column]) -> tuple[DataFrame, lis
         n: F.coalesce(c.cast("bigint"), F.lit(_BEFORE_ALL)) for n, c in whole.items()}), names
 
 
-def _renamed(keys: Sequence[str]) -> list[Column]:
-    return [F.col(k).alias(f"__of_{k}") for k in keys]
-
-
 def _same(rows: DataFrame, within: Sequence[str], levels: Sequence[str]) -> Column:
     """Equality with the renamed keys; null-safe only for group columns that may be null."""
     parts = []
@@ -51,40 +47,53 @@ def running_totals(
     order_by: Sequence[Column],
     within: Sequence[str] = (),
     grand_suffix: str | None = None,
+    ahead: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Add inclusive running sums along ``levels`` then ``order_by``.
+    """Add inclusive running sums along ``levels``, then the ascending ``order_by`` expressions.
 
-    ``within`` restarts the totals per group (null is a group). With ``grand_suffix``
-    the total over the whole group is added as well, as ``<name><suffix>``.
+    ``within`` restarts the totals per group (null is a group). With ``grand_suffix`` the total over the
+    whole group is added as well, as ``<name><suffix>``. ``ahead`` adds values of the next row in the
+    order, null on the last one.
     """
     cells, names = _with_cells(df, levels)
-    out = _accumulate(cells, dict(sums), names, list(order_by), list(within), grand_suffix)
+    wanted = F.struct(*[c.alias(n) for n, c in ahead.items()]) if ahead else None
+    out = _accumulate(cells, dict(sums), names, list(order_by), list(within), grand_suffix, wanted)
+    if ahead:
+        out = out.withColumns({n: F.col("__ahead")[n] for n in ahead}).drop("__ahead")
     return out.drop(*names)
 
 
-def _accumulate(df, sums, levels, order_by, within, grand_suffix):
+def _accumulate(df, sums, levels, order_by, within, grand_suffix, wanted):
     keys = [*within, *levels]
-    upto = Window.partitionBy(*keys).orderBy(*order_by).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    running = [F.sum(c).over(upto).alias(n) for n, c in sums.items()]
+    ordered = Window.partitionBy(*keys).orderBy(*order_by)
+    upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    added = [F.sum(c).over(upto).alias(n) for n, c in sums.items()]
+    if wanted is not None:
+        added.append(F.lead(wanted).over(ordered).alias("__ahead"))
     if not levels:
         if grand_suffix:
             everything = Window.partitionBy(*within)
-            running += [F.sum(c).over(everything).alias(n + grand_suffix) for n, c in sums.items()]
-        return df.select("*", *running)
-
-    rows = df.select("*", *running)
-    totals = df.groupBy(*keys).agg(*[F.sum(c).alias(f"__own_{n}") for n, c in sums.items()])
-    before = _accumulate(totals, {f"__upto_{n}": F.col(f"__own_{n}") for n in sums},
-                         levels[:-1], [F.col(levels[-1])], within, grand_suffix)
+            added += [F.sum(c).over(everything).alias(n + grand_suffix) for n, c in sums.items()]
+        return df.select("*", *added)
+
+    rows = df.select("*", *added)
+    # One row per cell: its totals and its first row, which is what follows the cell before it.
+    own = [F.sum(c).alias(f"__own_{n}") for n, c in sums.items()]
+    first = [F.min_by(wanted, F.struct(*order_by)).alias("__first")] if wanted is not None else []
+    cells = df.groupBy(*keys).agg(*own, *first)
+    before = _accumulate(cells, {f"__upto_{n}": F.col(f"__own_{n}") for n in sums}, levels[:-1],
+                         [F.col(levels[-1])], within, grand_suffix, F.col("__first") if first else None)
     grand = [f"__upto_{n}{grand_suffix}" for n in sums] if grand_suffix else []
     before = before.select(
-        *_renamed(keys), *[(F.col(f"__upto_{n}") - F.col(f"__own_{n}")).alias(f"__before_{n}") for n in sums], *grand)
+        *[F.col(k).alias(f"__of_{k}") for k in keys],
+        *[(F.col(f"__upto_{n}") - F.col(f"__own_{n}")).alias(f"__before_{n}") for n in sums], *grand,
+        *[F.col("__ahead").alias("__later") for _ in first])
     joined = rows.join(before, _same(rows, within, levels))
     return joined.select(
         *df.columns,
         *[(F.col(n) + F.col(f"__before_{n}")).alias(n) for n in sums],
-        *[F.col(g).alias(g.removeprefix("__upto_")) for g in grand])
+        *[F.col(g).alias(g.removeprefix("__upto_")) for g in grand],
+        *[F.coalesce("__ahead", "__later").alias("__ahead") for _ in first])
 
 
 def ordered_index(
@@ -93,27 +102,3 @@ def ordered_index(
     """Add a dense 64-bit position, counted from ``start`` in the order of levels, then ``order_by``."""
     counted = running_totals(df, {name: F.lit(1).cast("bigint")}, levels, order_by)
     return counted.withColumn(name, F.col(name) + F.lit(start - 1)) if start != 1 else counted
-
-
-def following(
-    df: DataFrame, values: Mapping[str, Column], levels: Sequence[Column], position: Column,
-    within: Sequence[str] = (),
-) -> DataFrame:
-    """Add values of the next row along ``levels`` then ascending ``position``; null on the last row."""
-    cells, names = _with_cells(df, levels)
-    wanted = F.struct(*[c.alias(n) for n, c in values.items()])
-    out = _next(cells, wanted, "__next", names, position, list(within))
-    return out.select(*df.columns, *[F.col("__next")[n].alias(n) for n in values])
-
-
-def _next(df, wanted, name, levels, position, within):
-    keys = [*within, *levels]
-    ahead = F.lead(wanted).over(Window.partitionBy(*keys).orderBy(position))
-    rows = df.select("*", ahead.alias(name))
-    if not levels:
-        return rows
-    first = df.groupBy(*keys).agg(F.min_by(wanted, position).alias("__first"))
-    after = _next(first, F.col("__first"), "__later", levels[:-1], F.col(levels[-1]), within)
-    after = after.select(*_renamed(keys), F.col("__later").alias("__then"))
-    joined = rows.join(after, _same(rows, within, levels))
-    return joined.select(*df.columns, F.coalesce(name, "__then").alias(name))

@@ -62,7 +62,7 @@ def _select(df: DataFrame, brackets: dict, sizes: dict[str, int], q: float) -> d
     # Cell 0 holds only the rows below the bracket.
     cell = F.when(F.col("value").isNull(), F.lit(0)).otherwise(F.floor(share * _BRACKET_CELLS) + 1)
     total = running_totals(counts, {"upto": F.col("n")}, [cell.cast("bigint")],
-                           [F.col("value").asc_nulls_first()], ["column"])
+                           [F.col("value")], ["column"])
     hits = (total.select("column", "value", "upto", (F.col("upto") - F.col("n")).alias("before"),
                          F.explode(wanted).alias("rank"))
                  .where((F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("upto")))
