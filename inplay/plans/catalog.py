@@ -54,13 +54,12 @@ def rounded(df: DataFrame, digits: int = 8) -> DataFrame:
                        else F.col(f.name) for f in df.schema.fields])
 
 
-def _table(spark, sf, keyed=False):
-    return sample_feed.batted_balls(spark, sf, keyed)
+def _table(spark, sf):
+    return sample_feed.batted_balls(spark, sf)
 
 
-def _extract(spark, sf, keyed=False):
-    columns = [c for c in EXTRACT_COLUMNS if keyed or c != KEY_COLUMN]
-    return extract.modeling_extract(_table(spark, sf, keyed), columns=columns)
+def _extract(spark, sf):
+    return extract.modeling_extract(_table(spark, sf))
 
 
 # ---- scans, cleaning, loading
@@ -123,7 +122,7 @@ def load_total(spark, sf):
 @register
 def surrogate_key(spark, sf):
     """The dense key of every pitch, next to values that identify the pitch."""
-    return sample_feed.keyed_pitches(spark, sf).select(
+    return sample_feed.numbered(sample_feed.derive(spark, sf)).select(
         "pitch_id", DATE_COLUMN, "launch_speed", "plate_x", "hc_x", "hc_y")
 
 
@@ -245,13 +244,13 @@ def other_table_monthly_rate(spark, sf):
 
 @register
 def modeling_extract(spark, sf):
-    return _extract(spark, sf, keyed=True)
+    return _extract(spark, sf)
 
 
 @register
 def load_modeling_extract(spark, sf):
     """The extract through its view, validated."""
-    _table(spark, sf, keyed=True).createOrReplaceTempView("batted_ball_events")
+    _table(spark, sf).createOrReplaceTempView("batted_ball_events")
     view = extract.create_view(spark, "batted_ball_events")
     return extract.load_modeling_extract(view)
 
@@ -319,7 +318,7 @@ def label_text_counts(spark, sf):
 
 @register
 def head_tail(spark, sf):
-    return profile.head_tail(_extract(spark, sf, keyed=True))
+    return profile.head_tail(_extract(spark, sf))
 
 
 # A multiplicative hash that other engines can compute as well.
@@ -328,7 +327,7 @@ SAMPLE_DRAW = f"(({KEY_COLUMN} + {SAMPLE_SEED} * 7919) % 2147483647) * 48271 % 2
 
 @register
 def sample_n(spark, sf):
-    df = profile.sample_n(_extract(spark, sf, keyed=True), draw=F.expr(SAMPLE_DRAW))
+    df = profile.sample_n(_extract(spark, sf), draw=F.expr(SAMPLE_DRAW))
     return df.select(KEY_COLUMN, "launch_angle", "launch_speed", label_text(LABEL_COLUMN).alias("label"))
 
 
@@ -344,7 +343,7 @@ def validate_extract(spark, sf):
 
 @register
 def validate_not_null(spark, sf):
-    return checks.validate(_table(spark, sf, keyed=True), checks.table_expectations())
+    return checks.validate(_table(spark, sf), checks.table_expectations())
 
 
 @register
@@ -359,7 +358,7 @@ def validate_complete(spark, sf):
 @register
 def validate_same_rows(spark, sf):
     """Both models of the comparison are scored on the same keys."""
-    scored = _scored(spark, sf, keyed=True)
+    scored = _scored(spark, sf)
     a = scored.where(F.col("p_a").isNotNull())
     b = scored.where(F.col("p_b").isNotNull())
     return checks.same_rows(a, b)
@@ -370,7 +369,7 @@ def validate_same_rows(spark, sf):
 
 @register
 def time_split(spark, sf):
-    train, test = split.time_split(_extract(spark, sf, keyed=True))
+    train, test = split.time_split(_extract(spark, sf))
     return (train.select(KEY_COLUMN, DATE_COLUMN, F.lit("train").alias("split"))
             .unionByName(test.select(KEY_COLUMN, DATE_COLUMN, F.lit("test").alias("split"))))
 
@@ -383,14 +382,14 @@ def split_profile(spark, sf):
 @register
 def split_disjoint(spark, sf):
     """Keys in both splits: none."""
-    train, test = split.time_split(_extract(spark, sf, keyed=True))
+    train, test = split.time_split(_extract(spark, sf))
     both = train.select(KEY_COLUMN).intersect(test.select(KEY_COLUMN))
     return both.agg(F.count("*").alias("common_keys"))
 
 
 @register
 def complete_cases(spark, sf):
-    df = split.with_split(_extract(spark, sf, keyed=True), TRACKING_WINDOW)
+    df = split.with_split(_extract(spark, sf), TRACKING_WINDOW)
     return split.complete_cases(df).select(KEY_COLUMN, "split", *MODEL_B_FEATURES)
 
 
@@ -402,23 +401,23 @@ def row_loss(spark, sf):
 # ---- features
 
 
-def _prepared(spark, sf, keyed=False):
+def _prepared(spark, sf):
     """Preprocessing learned from the training rows of the tracking window, and the rows of both splits."""
-    tagged = split.with_split(_extract(spark, sf, keyed), TRACKING_WINDOW)
-    train = _extract(spark, sf).transform(lambda df: split.time_split(df, TRACKING_WINDOW)[0])
+    tagged = split.with_split(_extract(spark, sf), TRACKING_WINDOW)
+    train = tagged.where("split = 'train'")
     fitted = features.TablePreprocessor(numericCols=NUMERIC_B, categoricalCols=CATEGORICAL).fit(train)
     return fitted, tagged
 
 
 @register
 def median_impute(spark, sf):
-    fitted, tagged = _prepared(spark, sf, keyed=True)
+    fitted, tagged = _prepared(spark, sf)
     return tagged.select(KEY_COLUMN, "split", *[fitted.imputed(c).alias(c) for c in NUMERIC_B])
 
 
 @register
 def standardize(spark, sf):
-    fitted, tagged = _prepared(spark, sf, keyed=True)
+    fitted, tagged = _prepared(spark, sf)
     return rounded(tagged.select(KEY_COLUMN, "split", *[fitted.scaled(c).alias(c) for c in NUMERIC_B]), 6)
 
 
@@ -436,7 +435,7 @@ def mode_impute(spark, sf):
 
 @register
 def one_hot(spark, sf):
-    fitted, tagged = _prepared(spark, sf, keyed=True)
+    fitted, tagged = _prepared(spark, sf)
     indicators = {n: e for n, e in fitted.encoded().items() if n.startswith("categorical__")}
     return tagged.select(KEY_COLUMN, "split", *[e.alias(n) for n, e in indicators.items()])
 
@@ -451,9 +450,9 @@ def feature_display_names(spark, sf):
 # ---- metrics of arithmetic scores
 
 
-def _scored(spark, sf, keyed=False):
+def _scored(spark, sf):
     """Complete test rows of the tracking window with two arithmetic scores."""
-    tagged = split.with_split(_extract(spark, sf, keyed), TRACKING_WINDOW)
+    tagged = split.with_split(_extract(spark, sf), TRACKING_WINDOW)
     test = split.complete_cases(tagged.where("split = 'test'"))
     return test.select("*", F.expr(SCORE_A).alias("p_a"), F.expr(SCORE_B).alias("p_b"))
 
@@ -547,7 +546,7 @@ def fit_baseline(spark, sf):
 def score_test(spark, sf):
     """Test rows with the probability of the fitted baseline, through the fitted stages."""
     fitted = experiments.baseline_experiment(_extract(spark, sf))
-    _, test = split.time_split(_extract(spark, sf, keyed=True))
+    _, test = split.time_split(_extract(spark, sf))
     return score_by_transform(fitted.model, test).select(KEY_COLUMN, DATE_COLUMN, LABEL_COLUMN, "p")
 
 

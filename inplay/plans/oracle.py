@@ -175,7 +175,6 @@ def _checks(source: str, items: dict[str, str]) -> str:
 def oracle_sql() -> dict[str, str]:
     columns = ", ".join(EVENT_COLUMNS)
     extract_columns = ", ".join(EXTRACT_COLUMNS)
-    unkeyed = [c for c in EXTRACT_COLUMNS if c != "batted_ball_id"]
     base, track = _tagged(BASELINE_WINDOW), _TRACK
     ends = ("SELECT {cols}, 'head' AS part FROM (SELECT * FROM modeling_extract ORDER BY game_date, batted_ball_id LIMIT 3) "
             "UNION ALL SELECT {cols}, 'tail' FROM (SELECT * FROM modeling_extract "
@@ -223,8 +222,8 @@ def oracle_sql() -> dict[str, str]:
         "qa_missed": _with(f"SELECT {missed} FROM batted_ball_events"),
         "qa_label_consistency": _with(f"SELECT {mislabeled}, {missed} FROM batted_ball_events"),
         "null_counts": _with(
-            "SELECT " + ", ".join(f"count(*) - count({c}) AS {c}" for c in unkeyed) + ", "
-            + " + ".join(f"count(*) - count({c})" for c in unkeyed) + " AS all_columns FROM modeling_extract"),
+            "SELECT " + ", ".join(f"count(*) - count({c}) AS {c}" for c in EXTRACT_COLUMNS) + ", "
+            + " + ".join(f"count(*) - count({c})" for c in EXTRACT_COLUMNS) + " AS all_columns FROM modeling_extract"),
         "other_table_daily": "SELECT CAST(ts AS DATE) AS day, count(*) AS observations FROM events GROUP BY 1",
         "other_table_monthly_rate": _rate(
             "CAST(date_trunc('month', ts) AS DATE)", "year_month", "events", "event_type = 'purchase'").replace(
@@ -250,7 +249,7 @@ def oracle_sql() -> dict[str, str]:
         "pull_distinct_events": _with("SELECT DISTINCT events FROM clean"),
         "pull_distinct_bb_types": _with("SELECT DISTINCT bb_type FROM clean"),
         "extract_profile": _with(
-            f"SELECT count(*) AS n_rows, CAST({len(unkeyed)} AS BIGINT) AS n_columns, 'boolean' AS label_type, "
+            f"SELECT count(*) AS n_rows, CAST({len(EXTRACT_COLUMNS)} AS BIGINT) AS n_columns, 'boolean' AS label_type, "
             "min(game_date) AS first_date, max(game_date) AS last_date, count(DISTINCT year(game_date)) AS n_years "
             "FROM modeling_extract"),
         "extract_distinct_years": _with(f"SELECT DISTINCT {_SEASON} AS season FROM modeling_extract"),

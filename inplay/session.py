@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Adaptive execution sizes shuffles, splits skewed join and write partitions and turns a join
@@ -16,6 +20,8 @@ SETTINGS = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # Generated methods above 8000 bytes are not compiled by the JVM; such a stage is faster without them.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -27,3 +33,18 @@ def build_session(app: str = "inplay", master: str | None = None, **extra: str)
     for key, value in {**SETTINGS, **{k.replace("__", "."): v for k, v in extra.items()}}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for tables that jobs hand on: ``spark.checkpoint.dir``, which all executors must reach.
+
+    Only a local session may do without; it gets a temporary folder that is removed at exit.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix="inplay-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder

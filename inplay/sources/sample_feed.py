@@ -5,14 +5,17 @@ The expressions are portable SQL text, so the same rows can be derived by anothe
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from inplay.operators.prefix import ordered_index
-from inplay.schema import EVENT_COLUMNS, HIT_EVENTS, KEY_COLUMN, SWING_NUMERIC
+from inplay.schema import EVENT_COLUMNS, KEY_COLUMN, SWING_NUMERIC
+from inplay.session import shared_folder
 
-# Ship dates move by 24 years into the seasons 2019 to 2025; leap years stay leap years.
+# Ship dates move by 24 years (8766 days) into the seasons 2019 to 2025; leap years stay leap years.
 BASE = {
-    "game_date": "CAST(l_shipdate + INTERVAL '24' YEAR AS DATE)",
+    "game_date": "CAST(l_shipdate AS DATE) + 8766",
     "cents": "CAST(round(l_extendedprice * 100) AS BIGINT)",
     "h": "l_orderkey * 7 + l_linenumber * 13 + l_partkey",
 }
@@ -24,7 +27,15 @@ _ANGLE = "((h * 31) % 171 - 85)"
 _SWING = dict(zip(SWING_NUMERIC, [
     (500, 3, 401), (40, 5, 61), (-300, 19, 601), (-150, 23, 501), (150, 29, 301), (200, 37, 251), (150, 41, 301)]))
 
-FIRST = {
+# A pitch that is put in play becomes a hit with a chance that depends on its ball type and speed. It is
+# written on h and cents, not on the columns derived from them, so that a filter on it stays short.
+_CHANCE = (f"CASE WHEN h % 5 = 0 OR {_ANGLE} < 10 THEN 20 WHEN {_ANGLE} < 25 THEN 60 WHEN {_ANGLE} < 50 THEN 20 "
+           "ELSE 3 END + CASE WHEN h % 40 <> 3 AND cents % 1001 >= 800 THEN 15 ELSE 0 END")
+_HIT = f"(h % 199 <> 7 AND (h * 17) % 100 < {_CHANCE})"
+
+DERIVED = {
+    "events": (f"CASE WHEN h % 199 = 7 THEN NULL WHEN NOT {_HIT} THEN 'field_out' WHEN h % 10 < 6 THEN 'single' "
+               "WHEN h % 10 < 8 THEN 'double' WHEN h % 10 = 8 THEN 'triple' ELSE 'home_run' END"),
     "bb_type": (f"CASE WHEN h % 5 = 0 THEN NULL WHEN {_ANGLE} < 10 THEN 'ground_ball' "
                 f"WHEN {_ANGLE} < 25 THEN 'line_drive' WHEN {_ANGLE} < 50 THEN 'fly_ball' ELSE 'popup' END"),
     "zone": "CAST(1 + h % 14 AS STRING)",
@@ -40,62 +51,63 @@ FIRST = {
     "hc_x": "CAST((h * 43) % 2501 AS DOUBLE) / 10",
     "hc_y": "CAST((h * 47) % 2501 AS DOUBLE) / 10",
     "hit_distance_sc": "CASE WHEN h % 20 = 4 THEN NULL ELSE CAST((h * 53) % 451 AS DOUBLE) END",
+    # The stored label; a few are wrong, some of these on unknown outcomes.
+    "stored_label": f"{_HIT} <> (h % 997 = 0 OR h % 1990 = 7)",
 }
-_CHANCE = ("CASE bb_type WHEN 'line_drive' THEN 60 WHEN 'popup' THEN 3 ELSE 20 END "
-           "+ CASE WHEN launch_speed >= 95 THEN 15 ELSE 0 END")
-OUTCOME = (f"CASE WHEN h % 199 = 7 THEN NULL WHEN (h * 17) % 100 >= {_CHANCE} THEN 'field_out' "
-           "WHEN h % 10 < 6 THEN 'single' WHEN h % 10 < 8 THEN 'double' WHEN h % 10 = 8 THEN 'triple' "
-           "ELSE 'home_run' END")
-# The stored table carries a few wrong labels, some on unknown outcomes.
-_HIT = "coalesce(events IN (" + ", ".join(f"'{e}'" for e in HIT_EVENTS) + "), false)"
-STORED_LABEL = f"CASE WHEN h % 997 = 0 OR h % 1990 = 7 THEN NOT {_HIT} ELSE {_HIT} END"
 
 PITCH_COLUMNS = [c for c in EVENT_COLUMNS if c != "is_hit"]
+_written: dict[tuple[str, str], str] = {}
 
 
-def _pitches(spark: SparkSession, sf_dir: str) -> DataFrame:
+def derive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pitch and its stored label, with the source columns that order them."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    base = lines.select(*_SOURCE, *[F.expr(e).alias(n) for n, e in BASE.items()])
-    first = base.select("*", *[F.expr(e).alias(n) for n, e in FIRST.items()])
-    return first.withColumn("events", F.expr(OUTCOME))
-
-
-def pitches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per pitch, without a key."""
-    return _pitches(spark, sf_dir).select(*PITCH_COLUMNS)
+    base = lines.selectExpr(*_SOURCE, *[f"{e} AS {n}" for n, e in BASE.items()])
+    return base.selectExpr("*", *[f"{e} AS {n}" for n, e in DERIVED.items()])
 
 
-def _keyed(df: DataFrame) -> DataFrame:
+def numbered(df: DataFrame) -> DataFrame:
+    """Derived pitches with their dense position in day order."""
     # Order keys of one day are cut into cells, so that a day of any size is numbered by many tasks.
     cells = [F.col("game_date"), F.shiftright(F.col("l_orderkey"), 20)]
     return ordered_index(df, "pitch_id", cells, [F.col(c) for c in ORDER])
 
 
-def keyed_pitches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pitches with their dense position in day order."""
-    return _keyed(_pitches(spark, sf_dir)).select("pitch_id", *PITCH_COLUMNS)
+def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The numbered pitches, derived once per session and kept as a table in the shared folder.
+
+    One directory per season; inside, files follow the day order, so that a day filter skips files by
+    their statistics. Ranges of the dense key split a heavy day over several files.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _written:
+        path = f"{shared_folder(spark)}/inplay-feed-{uuid.uuid4().hex}"
+        rows = numbered(derive(spark, sf_dir)).select(
+            "pitch_id", *PITCH_COLUMNS, F.col("stored_label").alias("is_hit"), F.year("game_date").alias("season"))
+        (rows.repartitionByRange("pitch_id").sortWithinPartitions("pitch_id")
+             .write.partitionBy("season").parquet(path))
+        _written[key] = path
+    return spark.read.parquet(_written[key])
+
+
+def pitches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landing feed: one row per pitch, without a key."""
+    return feed(spark, sf_dir).select(*PITCH_COLUMNS)
 
 
-def batted_balls(spark: SparkSession, sf_dir: str, keyed: bool = False) -> DataFrame:
-    """The stored table. Ask for the key only where it is used: numbering rows needs a shuffle."""
-    df = _pitches(spark, sf_dir)
-    if keyed:
-        df = _keyed(df).withColumnRenamed("pitch_id", KEY_COLUMN)
-    stored = df.where("bb_type IS NOT NULL").withColumn("is_hit", F.expr(STORED_LABEL))
-    return stored.select(*([KEY_COLUMN] if keyed else []), *EVENT_COLUMNS)
+def batted_balls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored table, with its key."""
+    stored = feed(spark, sf_dir).where(F.col("bb_type").isNotNull())
+    return stored.withColumnRenamed("pitch_id", KEY_COLUMN).select(KEY_COLUMN, *EVENT_COLUMNS)
 
 
 def sql_tables() -> str:
     """The feed and the table as SQL common table expressions ``pitches`` and ``batted_ball_events``."""
     base = ", ".join(f"{e} AS {n}" for n, e in BASE.items())
-    first = ", ".join(f"{e} AS {n}" for n, e in FIRST.items())
-    kept = ", ".join(EVENT_COLUMNS)
+    derived = ", ".join(f"{e} AS {n}" for n, e in DERIVED.items())
     return (
         f"base AS (SELECT {', '.join(_SOURCE)}, {base} FROM lineitem),\n"
-        f"first_pass AS (SELECT *, {first} FROM base),\n"
-        f"pitches AS (SELECT *, {OUTCOME} AS events, row_number() OVER (ORDER BY {', '.join(ORDER)}) AS pitch_id "
-        "FROM first_pass),\n"
-        f"labelled AS (SELECT *, pitch_id AS {KEY_COLUMN}, {STORED_LABEL} AS is_hit FROM pitches "
-        "WHERE bb_type IS NOT NULL),\n"
-        f"batted_ball_events AS (SELECT {KEY_COLUMN}, {kept} FROM labelled)"
+        f"pitches AS (SELECT *, {derived}, row_number() OVER (ORDER BY {', '.join(ORDER)}) AS pitch_id FROM base),\n"
+        f"batted_ball_events AS (SELECT pitch_id AS {KEY_COLUMN}, stored_label AS is_hit, "
+        f"{', '.join(c for c in EVENT_COLUMNS if c != 'is_hit')} FROM pitches WHERE bb_type IS NOT NULL)"
     )

@@ -25,7 +25,7 @@ def plan(df):
 def stored(spark, sf):
     table = EventTable(spark, "plan_events")
     if table.count() == 0:
-        late = catalog._table(spark, sf, keyed=True).where(F.col(DATE_COLUMN) >= F.lit("2025-03-01").cast("date"))
+        late = catalog._table(spark, sf).where(F.col(DATE_COLUMN) >= F.lit("2025-03-01").cast("date"))
         table.append(late)
     yield table.read()
     spark.sql("DROP TABLE plan_events")
