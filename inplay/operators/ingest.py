@@ -82,20 +82,26 @@ def days_between(start: str | date, end: str | date) -> int:
     return max(0, (_day(end) - _day(start)).days + 1)
 
 
-def load_report(spine: DataFrame, stored: DataFrame, incoming: DataFrame, max_days: int | None = None) -> DataFrame:
-    """Per day of the spine: what a load would do, and the rows it would add."""
-    before = stored.groupBy(DATE_COLUMN).agg(F.count("*").alias("stored_rows"))
-    arriving = incoming.groupBy(DATE_COLUMN).agg(F.count("*").alias("incoming_rows"))
-    if max_days is not None and max_days <= MAX_BROADCAST_DAYS:
-        before, arriving = F.broadcast(before), F.broadcast(arriving)
-    zero = F.lit(0).cast("bigint")
-    joined = spine.join(before, DATE_COLUMN, "left").join(arriving, DATE_COLUMN, "left")
+def load_report(stored: DataFrame, incoming: DataFrame, start: str | date, end: str | date) -> DataFrame:
+    """Per day of the range: what a load would do, and the rows it would add.
+
+    Both sides are cut to the range before they are counted, so each has at most one row per day of it.
+    """
+    spine = date_spine(stored.sparkSession, start, end)
+    inside = F.col(DATE_COLUMN).between(F.lit(_day(start)), F.lit(_day(end)))
+
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        days = df.where(inside).groupBy(DATE_COLUMN).agg(F.count("*").alias(name))
+        return F.broadcast(days) if days_between(start, end) <= MAX_BROADCAST_DAYS else days
+
+    joined = (spine.join(counted(stored, "stored_rows"), DATE_COLUMN, "left")
+                   .join(counted(incoming, "incoming_rows"), DATE_COLUMN, "left"))
     status = (F.when(F.col("stored_rows").isNotNull(), "already loaded")
                .when(F.col("incoming_rows").isNull(), "no rows")
                .otherwise("loaded"))
     return joined.select(
         DATE_COLUMN, status.alias("status"),
-        F.when(status == "loaded", F.col("incoming_rows")).otherwise(zero).alias("loaded_rows"))
+        F.when(status == "loaded", F.col("incoming_rows")).otherwise(F.lit(0).cast("bigint")).alias("loaded_rows"))
 
 
 def load_total(report: DataFrame) -> DataFrame:

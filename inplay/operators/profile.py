@@ -71,4 +71,5 @@ def label_rate_by(df: DataFrame, column: str = "bb_type", label: str = LABEL_COL
     rank = F.array_position(F.array(*[F.lit(v) for v in order]), F.col(column)).cast("int")
     rates = (df.where(F.col(column).isin(*order)).groupBy(column)
                .agg(safe_ratio(F.sum(F.col(label).cast("int")), F.count(label)).alias("hit_rate")))
-    return rates.select(column, rank.alias("display_rank"), "hit_rate", percent_text(F.col("hit_rate")).alias("hit_rate_text"))
+    return rates.select(column, rank.alias("display_rank"), "hit_rate",
+                        percent_text(F.col("hit_rate")).alias("hit_rate_text"))

@@ -38,40 +38,35 @@ def ranks(n: int, q: float) -> tuple[int, int, float]:
 
 
 def _bracketed(df: DataFrame, brackets: dict[str, tuple[float, float]]) -> DataFrame:
-    """(column, value, n): counts of every value in its bracket; a null value stands for all below."""
-    def entry(c: str, low: float, high: float) -> Column:
-        inside = F.when(F.col(c) >= F.lit(low), F.col(c))
-        return F.when(F.col(c) <= F.lit(high), F.struct(F.lit(c).alias("column"), inside.alias("value")))
+    """(column, cell, value, n): counts of every value in its bracket, in cells that rise with the value.
 
-    entries = F.array(*[entry(c, *ends) for c, ends in brackets.items()])
-    return (df.select(F.explode(F.array_compact(entries)).alias("e"))
-              .groupBy("e.column", "e.value").agg(F.count("*").alias("n")))
+    The column is given by its position. Cell 0 holds a null value, which stands for all values below.
+    """
+    def entry(i: int, c: str, low: float, high: float) -> Column:
+        inside = F.col(c) >= F.lit(low)
+        share = (F.col(c) - F.lit(low)) * F.lit(_BRACKET_CELLS / ((high - low) or 1.0))
+        return F.when(F.col(c) <= F.lit(high), F.struct(
+            F.lit(i).alias("column"), F.when(inside, F.floor(share) + 1).otherwise(F.lit(0)).alias("cell"),
+            F.when(inside, F.col(c)).alias("value")))
+
+    entries = F.array(*[entry(i, c, *ends) for i, (c, ends) in enumerate(brackets.items())])
+    return (df.select(F.explode(entries).alias("e")).where(F.col("e").isNotNull())
+              .groupBy("e.column", "e.cell", "e.value").agg(F.count("*").alias("n")))
 
 
 def _select(df: DataFrame, brackets: dict, sizes: dict[str, int], q: float) -> dict[str, float]:
+    wanted = F.array(*[F.array(*map(F.lit, ranks(sizes[c], q)[:2])) for c in brackets])
     counts = _bracketed(df, brackets)
-    low = F.lit(None).cast("double")
-    width = F.lit(None).cast("double")
-    wanted = F.lit(None)
-    for c, (a, b) in brackets.items():
-        low = F.when(F.col("column") == c, F.lit(float(a))).otherwise(low)
-        width = F.when(F.col("column") == c, F.lit(float(b - a) or 1.0)).otherwise(width)
-        lower, upper, _ = ranks(sizes[c], q)
-        wanted = F.when(F.col("column") == c, F.array(F.lit(lower), F.lit(upper))).otherwise(wanted)
-    share = (F.col("value") - low) / width
-    # Cell 0 holds only the rows below the bracket.
-    cell = F.when(F.col("value").isNull(), F.lit(0)).otherwise(F.floor(share * _BRACKET_CELLS) + 1)
-    total = running_totals(counts, {"upto": F.col("n")}, [cell.cast("bigint")],
-                           [F.col("value")], ["column"])
-    hits = (total.select("column", "value", "upto", (F.col("upto") - F.col("n")).alias("before"),
-                         F.explode(wanted).alias("rank"))
-                 .where((F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("upto")))
-                 .where(F.col("value").isNotNull()))
-    found: dict[tuple[str, int], float] = {}
-    for row in hits.collect():  # at most two rows per column
-        found[row["column"], row["rank"]] = row["value"]
+    total = running_totals(counts, {"upto": F.col("n")}, [F.col("cell")], [F.col("value")], ["column"])
+    hits = (total.where(F.col("value").isNotNull())
+                 .select("column", "value", "upto", (F.col("upto") - F.col("n")).alias("before"),
+                         F.explode(wanted[F.col("column")]).alias("rank"))
+                 .where((F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("upto"))))
+    columns = list(brackets)
+    # At most two rows per column.
+    found = {(columns[r["column"]], r["rank"]): r["value"] for r in hits.collect()}
     result = {}
-    for c in brackets:
+    for c in columns:
         lower, upper, weight = ranks(sizes[c], q)
         if (c, lower) in found and (c, upper) in found:
             a, b = found[c, lower], found[c, upper]
@@ -79,19 +74,21 @@ def _select(df: DataFrame, brackets: dict, sizes: dict[str, int], q: float) -> d
     return result
 
 
-def finish_quantiles(df: DataFrame, first_pass: dict, columns: Sequence[str], q: float = 0.5) -> dict[str, float | None]:
+def finish_quantiles(df: DataFrame, first_pass: dict, columns: Sequence[str],
+                     q: float = 0.5) -> dict[str, float | None]:
     """Second pass, given the collected first-pass row as a dict. None for a column without values."""
     sizes = {c: first_pass[f"n__{c}"] for c in columns}
-    brackets = {c: tuple(first_pass[f"ends__{c}"]) for c in columns if sizes[c]}
+    brackets = {c: tuple(map(float, first_pass[f"ends__{c}"])) for c in columns if sizes[c]}
     result = _select(df, brackets, sizes, q) if brackets else {}
     # A sketch that missed the rank would leave its column out: rank that one over its full range.
-    missed = {c: tuple(first_pass[f"range__{c}"]) for c in brackets if c not in result}
+    missed = {c: tuple(map(float, first_pass[f"range__{c}"])) for c in brackets if c not in result}
     if missed:
         result.update(_select(df, missed, sizes, q))
     return {c: result.get(c) for c in columns}
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float = 0.5, accuracy: int = ACCURACY) -> dict[str, float | None]:
+def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float = 0.5,
+                    accuracy: int = ACCURACY) -> dict[str, float | None]:
     """Quantile of each column with linear interpolation between ranks, ignoring nulls."""
     first = df.agg(*bracket_columns(columns, q, accuracy)).first().asDict()
     return finish_quantiles(df, first, columns, q)

@@ -8,13 +8,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from inplay.functions import display_name, hit_label, label_text, season, threshold_label
 from inplay.operators import checks, extract, features, ingest, metrics, profile, quality, split
-from inplay.operators.metrics import METRICS
 from inplay.operators.model import coefficient_impact, coefficients, score_by_transform
 from inplay.plans import experiments
 from inplay.plans.load import rows_to_load
 from inplay.schema import (
-    CATEGORICAL, CONTACT_NUMERIC, DATE_COLUMN, EXTRACT_COLUMNS, KEY_COLUMN, LABEL_COLUMN, MODEL_B_FEATURES,
-    REFERENCE_LEVELS, SAMPLE_SEED, SWING_NUMERIC, TRACKING_WINDOW,
+    CATEGORICAL, CONTACT_NUMERIC, DATE_COLUMN, KEY_COLUMN, LABEL_COLUMN, MODEL_B_FEATURES, SAMPLE_SEED,
+    SWING_NUMERIC, TRACKING_WINDOW,
 )
 from inplay.sources import sample_feed
 from inplay.sources.landing import scan_days
@@ -105,8 +104,7 @@ def incremental_load(spark, sf):
 
 def _report(spark, sf):
     incoming = ingest.clean_batted_balls(scan_days(sample_feed.pitches(spark, sf), *LOAD_RANGE))
-    return ingest.load_report(ingest.date_spine(spark, *LOAD_RANGE), _stored(spark, sf), incoming,
-                              ingest.days_between(*LOAD_RANGE))
+    return ingest.load_report(_stored(spark, sf), incoming, *LOAD_RANGE)
 
 
 @register

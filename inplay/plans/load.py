@@ -7,9 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from inplay.operators.ingest import (
-    assign_keys, clean_batted_balls, date_spine, days_between, load_report, loaded_days, unloaded,
+    assign_keys, clean_batted_balls, days_between, load_report, loaded_days, unloaded,
 )
-from inplay.schema import DATE_COLUMN, EVENT_COLUMNS, KEY_COLUMN
+from inplay.schema import EVENT_COLUMNS, KEY_COLUMN
 from inplay.sources.landing import scan_days
 from inplay.sources.table import EventTable
 
@@ -34,12 +34,9 @@ def load_range(pitches: DataFrame, table: EventTable, start: str, end: str) -> L
     and stays right when tasks are retried.
     """
     if not days_between(start, end):
-        return LoadResult(0, load_report(date_spine(table.spark, start, end), table.read(), table.read()))
+        return LoadResult(0, load_report(table.read(), table.read(), start, end))
     last = table.last_key()
     table.append(assign_keys(rows_to_load(pitches, table.read(), start, end), after=last))
-    in_range = table.read().where(F.col(DATE_COLUMN).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
-    total = in_range.where(F.col(KEY_COLUMN) > last).count()
-    report = load_report(
-        date_spine(table.spark, start, end), in_range.where(F.col(KEY_COLUMN) <= last),
-        in_range.where(F.col(KEY_COLUMN) > last), days_between(start, end))
-    return LoadResult(total, report)
+    before = table.read().where(F.col(KEY_COLUMN) <= last)
+    appended = table.read().where(F.col(KEY_COLUMN) > last)
+    return LoadResult(appended.count(), load_report(before, appended, start, end))

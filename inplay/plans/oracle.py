@@ -120,8 +120,8 @@ _TWO = (f"two AS (SELECT is_hit, '{MODEL_A}' AS model, p_a AS p FROM scored UNIO
 
 def _curve(source: str) -> str:
     return (
-        f"per_score AS (SELECT model, p, count(*) FILTER (WHERE is_hit) AS pos, count(*) FILTER (WHERE NOT is_hit) AS neg "
-        f"FROM {source} GROUP BY 1, 2),\n"
+        "per_score AS (SELECT model, p, count(*) FILTER (WHERE is_hit) AS pos, "
+        f"count(*) FILTER (WHERE NOT is_hit) AS neg FROM {source} GROUP BY 1, 2),\n"
         "curve AS (SELECT *, CAST(sum(pos) OVER w AS BIGINT) AS tps, CAST(sum(neg) OVER w AS BIGINT) AS fps, "
         "CAST(sum(pos) OVER (PARTITION BY model) AS BIGINT) AS p_all, "
         "CAST(sum(neg) OVER (PARTITION BY model) AS BIGINT) AS n_all, "
@@ -176,7 +176,8 @@ def oracle_sql() -> dict[str, str]:
     columns = ", ".join(EVENT_COLUMNS)
     extract_columns = ", ".join(EXTRACT_COLUMNS)
     base, track = _tagged(BASELINE_WINDOW), _TRACK
-    ends = ("SELECT {cols}, 'head' AS part FROM (SELECT * FROM modeling_extract ORDER BY game_date, batted_ball_id LIMIT 3) "
+    ends = ("SELECT {cols}, 'head' AS part FROM (SELECT * FROM modeling_extract "
+            "ORDER BY game_date, batted_ball_id LIMIT 3) "
             "UNION ALL SELECT {cols}, 'tail' FROM (SELECT * FROM modeling_extract "
             "ORDER BY game_date DESC, batted_ball_id DESC LIMIT 3)").format(cols=extract_columns)
     mislabeled = f"count(*) FILTER (WHERE is_hit AND events NOT IN ({_HITS})) AS mislabeled_hits"

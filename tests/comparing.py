@@ -40,6 +40,18 @@ def canonical(columns, rows):
     return sorted(columns), sorted(out, key=repr)
 
 
+# Spark type names of DuckDB's.
+SAME_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+             "boolean": "BOOLEAN"}
+
+
+def type_difference(df, con, sql):
+    ours = {f.name: SAME_TYPE.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema}
+    theirs = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    wrong = {c: (ours.get(c), theirs.get(c)) for c in {*ours, *theirs} if ours.get(c) != theirs.get(c)}
+    return wrong or None
+
+
 def spark_rows(df):
     return canonical(df.columns, [tuple(r) for r in df.collect()])
 

@@ -24,8 +24,10 @@ def test_entry(spark, sf):
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_same_as_sql(name, spark, sf, duck):
-    ours = comparing.spark_rows(QUERIES[name](spark, sf))
+    df = QUERIES[name](spark, sf)
+    ours = comparing.spark_rows(df)
     assert ours[1], "no rows"
+    assert comparing.type_difference(df, duck, ORACLE[name]) is None
     assert comparing.difference(ours, comparing.duckdb_rows(duck, ORACLE[name])) is None
 
 
