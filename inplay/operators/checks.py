@@ -74,6 +74,12 @@ def table_expectations() -> list[Expectation]:
     return [*not_null(DATE_COLUMN, LABEL_COLUMN, "bb_type", KEY_COLUMN), unique(KEY_COLUMN)]
 
 
+def require_rows(df: DataFrame, name: str) -> None:
+    """Raise when there is no first row; reads no further than that row."""
+    if df.isEmpty():
+        raise ExpectationError(f"{name} is empty")
+
+
 def require_columns(columns: Iterable[str], required: Iterable[str] = EXTRACT_REQUIRED) -> None:
     missing = sorted(set(required) - set(columns))
     if missing:

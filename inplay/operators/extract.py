@@ -32,8 +32,8 @@ def modeling_extract(events: DataFrame, windows: Sequence[tuple] = SEASON_WINDOW
 
 
 def season_calendar(spark: SparkSession, windows: Sequence[tuple] = SEASON_WINDOWS) -> DataFrame:
-    rows = [(s, date.fromisoformat(a), date.fromisoformat(b)) for s, a, b in windows]
-    return spark.createDataFrame(rows, "season int, season_start date, season_end date")
+    rows = ", ".join(f"({s}, DATE '{a}', DATE '{b}')" for s, a, b in windows)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS calendar(season, season_start, season_end)")
 
 
 def semi_join_seasons(events: DataFrame, calendar: DataFrame, column: str = DATE_COLUMN) -> DataFrame:

@@ -94,6 +94,8 @@ class TablePreprocessor(Estimator, _TableParams, DefaultParamsReadable, DefaultP
         references = self.getOrDefault("references")
         require_references(categorical, references)
         rows, summary = numeric_summary(dataset, numeric)
+        if not rows:
+            raise ExpectationError("no training rows")
         learned = learn_levels(dataset, categorical)
         for c in categorical:
             if references[c] not in learned[c]["levels"]:

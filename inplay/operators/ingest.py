@@ -13,7 +13,8 @@ from inplay.schema import DATE_COLUMN, EVENT_COLUMNS, EVENT_SCHEMA, KEY_COLUMN
 
 # A list of days this long still fits any executor; longer ranges are left to the optimizer.
 MAX_BROADCAST_DAYS = 100_000
-_KEY_CELLS = 4096
+# Bits of the row hash that cut a day into cells for numbering.
+_CELL_BITS = 14
 
 
 def require_columns_exact(df: DataFrame, expected: Sequence[str]) -> DataFrame:
@@ -117,7 +118,7 @@ def assign_keys(rows: DataFrame, after: int = 0, name: str = KEY_COLUMN) -> Data
     """
     columns = [F.col(c) for c in rows.columns]
     hashed = rows.withColumn("__h", F.xxhash64(*columns))
-    cell = F.shiftright(F.col("__h"), 64 - _KEY_CELLS.bit_length() + 1)
+    cell = F.shiftright(F.col("__h"), 64 - _CELL_BITS)
     keyed = ordered_index(hashed, name, [F.col(DATE_COLUMN), cell], [F.col("__h"), *columns], after + 1)
     return keyed.select(name, *rows.columns)
 

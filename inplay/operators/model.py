@@ -13,7 +13,6 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from inplay.functions import display_name, sign_label
-from inplay.operators.checks import ExpectationError
 from inplay.operators.features import TablePreprocessor, TablePreprocessorModel, _TableParams
 from inplay.schema import LABEL_COLUMN
 
@@ -48,8 +47,6 @@ class TableClassifier(Estimator, _TableParams, DefaultParamsReadable, DefaultPar
 
     def fit_prepared(self, dataset: DataFrame, prepared: TablePreprocessorModel) -> PipelineModel:
         """Fit on rows whose preprocessing is already learned from the same rows."""
-        if not prepared.n_rows:
-            raise ExpectationError("no training rows")
         regression = LogisticRegression(
             featuresCol=self.getOrDefault("outputCol"), labelCol="__label",
             regParam=1.0 / (self.getOrDefault("strength") * prepared.n_rows), elasticNetParam=0.0,
@@ -80,8 +77,9 @@ def score_by_transform(model: PipelineModel, rows: DataFrame, name: str = "p") -
 def coefficients(model: PipelineModel) -> DataFrame:
     """Feature, coefficient and odds ratio; sort at output."""
     prepared, regression = model.stages
-    rows = [(n, float(w)) for n, w in zip(prepared.feature_names, regression.coefficients)]
-    frame = SparkSession.active().createDataFrame(rows, "feature string, coefficient double")
+    rows = F.array(*[F.struct(F.lit(n).alias("feature"), F.lit(float(w)).alias("coefficient"))
+                     for n, w in zip(prepared.feature_names, regression.coefficients)])
+    frame = SparkSession.active().range(1).select(F.inline(rows))
     return frame.withColumn("odds_ratio", F.exp("coefficient"))
 
 

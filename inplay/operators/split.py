@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from inplay.functions import as_date, count_where, percent_text, round_half_even, safe_ratio, thousands
-from inplay.operators.checks import ExpectationError
+from inplay.operators.checks import ExpectationError, require_rows as require_rows_in
 from inplay.schema import BASELINE_WINDOW, DATE_COLUMN, LABEL_COLUMN, MODEL_B_FEATURES, Window
 
 
@@ -45,9 +45,8 @@ def time_split(df: DataFrame, window: Window = BASELINE_WINDOW, column: str = DA
     train = dated.where(F.col(column).between(F.lit(start), F.lit(end)))
     later = dated.where(F.col(column) >= F.lit(test))
     if require_rows:
-        for name, side in (("train", train), ("test", later)):
-            if side.isEmpty():
-                raise ExpectationError(f"{name} split is empty")
+        require_rows_in(train, "train split")
+        require_rows_in(later, "test split")
     return train, later
 
 

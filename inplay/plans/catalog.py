@@ -441,7 +441,7 @@ def one_hot(spark, sf):
 @register
 def feature_display_names(spark, sf):
     fitted, _ = _prepared(spark, sf)
-    names = spark.createDataFrame([(n,) for n in fitted.feature_names], "feature string")
+    names = spark.range(1).select(F.explode(F.array(*map(F.lit, fitted.feature_names))).alias("feature"))
     return names.select("feature", display_name("feature").alias("predictor"))
 
 

@@ -45,6 +45,7 @@ def _single(extract: DataFrame, window: Window, numeric: list[str], categorical:
     estimator = TableClassifier(numericCols=numeric, categoricalCols=categorical)
     with _kept(train.select(*numeric, *categorical, LABEL_COLUMN)) as rows:
         model = estimator.fit(rows)
+    checks.require_rows(test, "test split")
     scored = score(model, test)
     result = metrics.evaluation(scored, "p", LABEL_COLUMN, THRESHOLD, strict_decision=True)
     return Fitted(model, scored, result)
@@ -91,7 +92,9 @@ def compare(extract: DataFrame, window: Window = TRACKING_WINDOW, threshold: flo
         prepared = b.preprocessor().fit(rows)
         model_a = a.fit_prepared(rows, prepared.restricted(CONTACT_NUMERIC, CATEGORICAL))
         model_b = b.fit_prepared(rows, prepared)
-    scored = complete_cases(test).select(
+    complete_test = complete_cases(test)
+    checks.require_rows(complete_test, "complete test split")
+    scored = complete_test.select(
         "*", score_column(model_a).alias("p_a"), score_column(model_b).alias("p_b"))
     both = stack_scores(scored)
     table = metrics.with_difference(

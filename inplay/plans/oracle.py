@@ -212,7 +212,8 @@ def oracle_sql() -> dict[str, str]:
         "qa_yearly": _with(f"SELECT {_SEASON} AS season, count(*) AS observations FROM batted_ball_events GROUP BY 1"),
         "qa_days": _with("SELECT count(DISTINCT game_date) AS total_number_of_days_w_bbe FROM batted_ball_events"),
         "qa_days_by_year": _with(
-            f"SELECT {_SEASON} AS season, count(DISTINCT game_date) AS number_of_days_w_bbe FROM batted_ball_events GROUP BY 1"),
+            f"SELECT {_SEASON} AS season, count(DISTINCT game_date) AS number_of_days_w_bbe "
+            "FROM batted_ball_events GROUP BY 1"),
         "qa_hit_rate_daily": _with(_rate("game_date", "game_date")),
         "qa_hit_rate_monthly": _with(_rate(_MONTH, "year_month")),
         "qa_hit_rate_yearly": _with(_rate(_SEASON, "season")),

@@ -26,7 +26,11 @@ SETTINGS = {
 
 
 def build_session(app: str = "inplay", master: str | None = None, **extra: str) -> SparkSession:
-    """A session with the settings above; ``extra`` keys use ``__`` for ``.`` and win."""
+    """A session with the settings above; ``extra`` keys use ``__`` for ``.`` and win.
+
+    Adaptive execution merges small shuffle partitions but never adds any: for large inputs give
+    ``spark__sql__shuffle__partitions`` as about the shuffled bytes over 128 MB.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)

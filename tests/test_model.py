@@ -56,6 +56,13 @@ def test_missing_reference_level_and_empty_column(spark):
     assert model.feature_names == ["categorical__kind_b"]
 
 
+def test_no_rows_raise(spark, extract):
+    with pytest.raises(ExpectationError, match="no training rows"):
+        fit_small(small(spark, []))
+    with pytest.raises(ExpectationError, match="test split"):
+        experiments.baseline_experiment(extract.where("game_date < DATE '2025-01-01'"))
+
+
 def test_too_many_levels_raise(spark, monkeypatch):
     monkeypatch.setattr("inplay.operators.features.MAX_LEVELS", 3)
     with pytest.raises(ExpectationError, match="levels"):
