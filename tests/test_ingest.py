@@ -1,4 +1,5 @@
 from datetime import date
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +7,8 @@ from pyspark.sql import functions as F
 from inplay.operators import ingest
 from inplay.plans.load import load_range
 from inplay.schema import EVENT_COLUMNS, EVENT_SCHEMA, KEY_COLUMN, PITCH_SCHEMA, TABLE_SCHEMA
+from inplay.session import shared_folder
+from inplay.sources import sample_feed
 from inplay.sources.jdbc import append_options, connection_options, partitioned_read
 from inplay.sources.landing import scan_days, scan_pitches
 from inplay.sources.table import EventTable
@@ -108,6 +111,40 @@ def test_load_of_an_empty_range(spark, table):
     assert result.total_inserted == 0 and result.report.count() == 0 and table.count() == 0
 
 
+def test_heavy_day_is_split_over_files_and_quiet_days_are_not(spark, table, sf):
+    day = F.when(F.col("h") % 3 == 0, F.lit("2021-05-02")).otherwise(
+        F.concat(F.lit("2021-06-0"), F.col("h") % 9 + 1)).cast("date")
+    rows = sample_feed.derive(spark, sf).withColumn("game_date", day)
+    # A heavy day is split between the tasks that number its rows, so there have to be several, and its rows
+    # must not be few enough to be broadcast.
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k", "spark.sql.shuffle.partitions": "16",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        assert load_range(rows, table, "2021-05-01", "2021-06-30").total_inserted == 4782
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    stored = spark.table(table.name)
+    named = stored.select("game_date", F.input_file_name().alias("file")).distinct()
+    files = {r["game_date"]: r["count"] for r in named.groupBy("game_date").count().collect()}
+    heavy = files.pop(date(2021, 5, 2))
+    assert heavy > 2 and heavy > max(files.values()), (heavy, files)
+
+
+def test_shared_folder_follows_the_session(spark):
+    def session(folder, master):
+        return SimpleNamespace(conf={"spark.checkpoint.dir": folder} if folder else {},
+                               sparkContext=SimpleNamespace(master=master))
+
+    assert shared_folder(session("hdfs://host/work/", "yarn")) == "hdfs://host/work"
+    with pytest.raises(ValueError):
+        shared_folder(session(None, "yarn"))
+    assert shared_folder(spark)
+
+
 def test_keys_continue_in_day_order(spark):
     rows = [pitch(f"2021-05-{d:02d}", launch_speed=float(i)) for d in (3, 1, 2) for i in range(20)]
     # Equal rows get keys of their own.
