@@ -116,9 +116,7 @@ class Words:
 
 def rolled(h: np.ndarray, width: int) -> np.ndarray:
     """sum(h[i + j] * B ** (width - 1 - j)) mod 2 ** 64 for every i, from runs whose lengths are powers of two."""
-    out, done, run, length, power = None, 0, h, 1, _BASE
-    # B ** length is kept as ``power``; runs end before the array does.
-    powers = 0
+    out, done, run, length, powers = None, 0, h, 1, 0
     while width >> powers:
         if width >> powers & 1:
             if out is None:
@@ -129,8 +127,7 @@ def rolled(h: np.ndarray, width: int) -> np.ndarray:
                 out, done = run[:n] * _power(done) + out[length:length + n], done + length
         powers += 1
         n = max(0, len(h) - 2 * length + 1)
-        run = run[:n] * power + run[length:length + n]
-        power, length = power * power, 2 * length
+        run, length = run[:n] * _power(length) + run[length:length + n], 2 * length
     return out
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from inplay.llm import bpe, packing
+from inplay.llm import bpe, language, packing, substrings
 from inplay.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -18,6 +18,11 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(rows)
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_repeats(table(spark, sf_dir, "documents"), window=35)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
     coded = bpe.encode(table(spark, sf_dir, "documents"), path).withColumn("text", bpe.decode("ids", path))
@@ -27,6 +32,12 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language.identified(docs).withColumn("held_out", language.held_out("doc_id"))
+    return found.select("doc_id", "held_out", F.col("_language.lang").alias("lang_pred"), "_language.score", "_language.rejected")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
