@@ -19,7 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from inplay.llm.common import WordCache, slices
+from inplay.llm.common import slices
 
 
 def byte_symbols() -> list[str]:
@@ -30,8 +30,14 @@ def byte_symbols() -> list[str]:
     return [x for _, x in sorted((names | {b: chr(256 + i) for i, b in enumerate(hidden)}).items())]
 
 
-class Bpe(WordCache):
-    """A tokenizer file's vocabulary and merges, and the ids of words seen so far."""
+class Bpe:
+    """A tokenizer file's vocabulary and merges, and the ids of words seen so far.
+
+    The tokenizer drops white space and joins nothing across it, so a text's ids are those of its words. That words
+    are remembered up to ``remembered``, of at most ``remembered_bytes``, bounds memory and changes no result.
+    """
+
+    remembered, remembered_bytes = 500_000, 64
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -58,7 +64,8 @@ class Bpe(WordCache):
         keys = left * self.width + right
         order = np.argsort(keys, kind="stable")
         self.keys, self.ranks, self.made = keys[order], order.astype(np.int64), made[order]
-        super().__init__()
+        self.known: dict[bytes, bytes] = {}
+        self.stops = dict(zip((b".", b","), self.encode_words([b".", b","])))
 
     def ranks_of(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank of each pair (past the last rank if it is no merge) and its place in the sorted keys."""
@@ -127,6 +134,24 @@ class Bpe(WordCache):
         found = {p: raw[a:b] for p, a, b in zip(distinct, [0, *ends], ends)}
         return [b"".join(found[p] if isinstance(p, bytes) else p.to_bytes(4, "little") for p in s) for s in split]
 
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text as 32-bit integers."""
+        split = [t.split() for t in texts]
+        if len(self.known) > self.remembered:
+            self.known = {}
+        known, stops = self.known, self.stops
+        fresh = list(set().union(*split).difference(known))
+        # Case and one stop after a letter change nothing else in a word; special tokens keep their case.
+        bare = [w[:-1] if w[-1:] in stops and w[-2:-1].isalpha() else w for w in fresh]
+        cores = [w if b"<|" in w else w.lower() for w in bare]
+        new = list(set(cores).difference(known))
+        found = dict(zip(new, self.encode_words(new))) if new else {}
+        coded = [(found[c] if c in found else known[c]) + (stops[w[-1:]] if len(b) < len(w) else b"") for w, b, c in zip(fresh, bare, cores)]
+        own = {w: ids for w, ids in zip(fresh, coded) if len(w) > self.remembered_bytes}
+        known.update(zip(fresh, coded) if not own else [(w, ids) for w, ids in zip(fresh, coded) if w not in own])
+        look = known.__getitem__ if not own else lambda w: known[w] if w in known else own[w]
+        return [b"".join(map(look, words)) for words in split]
+
 
 _loaded: dict[str, Bpe] = {}
 

@@ -133,43 +133,3 @@ def rolled(h: np.ndarray, width: int) -> np.ndarray:
 
 def _power(n: int) -> np.uint64:
     return np.uint64(pow(int(_BASE), n, 1 << 64))
-
-
-class WordCache:
-    """Ids of texts from the ids of their words, for tokenizers that drop white space and join nothing across it.
-
-    A subclass gives ``encode_words``: the ids of each word as 32-bit integers. Frequent words are remembered; that
-    they are at most ``remembered`` of at most ``remembered_bytes`` each bounds memory and changes no result.
-    """
-
-    remembered, remembered_bytes = 500_000, 64
-
-    def __init__(self) -> None:
-        self.known: dict[bytes, bytes] = {}
-        self.stops = dict(zip((b".", b","), self.encode_words([b".", b","])))
-
-    def encode_words(self, words: list[bytes]) -> list[bytes]:
-        raise NotImplementedError
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text as 32-bit integers."""
-        split = [t.split() for t in texts]
-        if len(self.known) > self.remembered:
-            self.known = {}
-        known, own, cores = self.known, {}, {}
-        # Case and one stop after a letter change nothing else in a word; special tokens keep their case.
-        for w in set().union(*split).difference(known):
-            stop = self.stops.get(w[-1:]) if w[-2:-1].isalpha() else None
-            cores[w] = (w if b"<|" in w else (w[:-1] if stop else w).lower(), b"" if b"<|" in w else stop or b"")
-        new = list({core for core, _ in cores.values()}.difference(known))
-        found = dict(zip(new, self.encode_words(new))) if new else {}
-        for w, (core, stop) in cores.items():
-            (own if len(w) > self.remembered_bytes else known)[w] = (known.get(core) or found.get(core, b"")) + stop
-        look = known.__getitem__ if not own else lambda w: known[w] if w in known else own[w]
-        return [b"".join(map(look, words)) for words in split]
-
-
-def binary_rows(data: np.ndarray, ends: np.ndarray) -> pa.Array:
-    """Binary values that lie one after another in ``data`` and end at ``ends`` (in bytes)."""
-    offsets = np.concatenate([[0], ends]).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])

@@ -13,38 +13,68 @@ rows are packed each. An empty table gives an empty result.
 
 from __future__ import annotations
 
-import os
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from inplay.llm.common import WordCache, slices, stored
+from inplay.llm.bpe import byte_symbols
+from inplay.llm.common import slices, stored
 
 #: Pieces in a group, on average. It bounds a task's memory and time.
 GROUP_PIECES = 8192
 
 
-class WordIds(WordCache):
-    """Ids of words by the tokenizers library.
+class WordIds(dict):
+    """Ids of words, as 32-bit integers, by the tokenizers library; encoded when first asked for.
 
-    The tokenizer drops white space and never joins what it separates, so a text's ids are those of its words.
+    The tokenizer drops white space and joins nothing across it, so a text's ids are those of its words. That words
+    are remembered up to ``remembered``, of at most ``remembered_bytes``, bounds memory and changes no result.
     """
 
+    remembered, remembered_bytes = 500_000, 64
+
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        super().__init__()
-
-    def encode_words(self, words: list[bytes]) -> list[bytes]:
-        coded = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        return [np.array(c.ids, np.uint32).tobytes() for c in coded]
+        self.tokenize = self.tokenizer.model.tokenize
+        self.symbols = dict(enumerate(byte_symbols()))
+
+    def __missing__(self, word: bytes) -> bytes:
+        if word[-1:] in (b".", b",") and word[-2:-1].isalpha():
+            ids = self[word[:-1]] + self[word[-1:]]
+        elif shown := self.letters(word):
+            # Letters alone need no splitting; the library's model gets them as after its own first steps.
+            ids = array("I", [t.id for t in self.tokenize(shown)]).tobytes()
+        else:
+            ids = array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
+        if len(word) <= self.remembered_bytes:
+            self[word] = ids
+        return ids
+
+    def letters(self, word: bytes) -> str:
+        """The word as the model wants it if it is nothing but letters, which are lowered one by one; else nothing."""
+        if word.isalpha():
+            return word.lower().decode()
+        text = word.decode()
+        if not text.isalpha() or not unicodedata.is_normalized("NFC", text):
+            return ""
+        low = "".join(map(str.lower, text))
+        return low.encode().decode("latin-1").translate(self.symbols) if low.isalpha() else ""
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text as 32-bit integers."""
+        if len(self) > self.remembered:
+            self.clear()
+        return [b"".join(map(self.__getitem__, t.split())) for t in texts]
 
 
 _loaded: dict[str, WordIds] = {}
