@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from inplay.llm import bpe, language, packing, substrings
+from inplay.llm import bpe, language, minhash, packing, substrings
 from inplay.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -32,6 +32,10 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = language.identified(docs).withColumn("held_out", language.held_out("doc_id"))
