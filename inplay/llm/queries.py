@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from inplay.llm import bpe, language, minhash, packing, substrings
+from inplay.llm import bpe, language, lines, minhash, packing, substrings
 from inplay.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -23,6 +23,11 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.deduplicate_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", F.char_length("kept").cast("long").alias("n_kept_chars"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
     coded = bpe.encode(table(spark, sf_dir, "documents"), path).withColumn("text", bpe.decode("ids", path))
