@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from inplay.llm.common import Words, mix, slices, stored, text_bytes
 from inplay.llm.components import components
-from inplay.llm.minhash import central_pairs, open_pairs
+from inplay.llm.minhash import central_pairs, open_members, open_pairs
 
 BITS = 64
 #: Nodes that a bucket compares pair by pair.
@@ -55,19 +55,54 @@ def split_lines(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
 
 
 def simhash(hashed: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """For each run of words the bits that more than half of its words have."""
+    """For each run of words the bits that more than half of its distinct words have.
+
+    Counting words once keeps the few words that every long line repeats from deciding.
+    """
     out = np.zeros(len(first) - 1, np.uint64)
-    full = np.flatnonzero(np.diff(first) > 0)
+    line = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    order = np.lexsort((hashed, line))
+    hashed, line = hashed[order], line[order]
+    fresh = np.concatenate([[True], (hashed[1:] != hashed[:-1]) | (line[1:] != line[:-1])])[:len(hashed)]
+    hashed, line = hashed[fresh], line[fresh]
+    full, begin, size = np.unique(line, return_index=True, return_counts=True)
     for a in range(0, len(full), 4096):
-        own = full[a:a + 4096]
-        begin, end = first[own[0]], first[own[-1] + 1]
-        bits = np.unpackbits(hashed[begin:end].view(np.uint8).reshape(-1, 8), axis=1)
-        ones = np.add.reduceat(bits, first[own] - begin, axis=0, dtype=np.int32)
-        more = 2 * ones > np.diff(first)[own][:, None]
-        out[own] = np.packbits(more, axis=1).view(np.uint64)[:, 0]
+        own, at, n = full[a:a + 4096], begin[a:a + 4096], size[a:a + 4096]
+        bits = np.unpackbits(hashed[at[0]:at[-1] + n[-1]].view(np.uint8).reshape(-1, 8), axis=1)
+        ones = np.add.reduceat(bits, at - at[0], axis=0, dtype=np.int32)
+        out[own] = np.packbits(2 * ones > n[:, None], axis=1).view(np.uint64)[:, 0]
     return out
 
 
+def distance_within(a: str, b: str, most: int) -> bool:
+    """Whether the edit distance is at most ``most``; columns of the table are bits of an integer."""
+    if abs(len(a) - len(b)) > most:
+        return False
+    at, end = 0, min(len(a), len(b))
+    while at < end and a[at] == b[at]:
+        at += 1
+    back = 0
+    while back < end - at and a[-1 - back] == b[-1 - back]:
+        back += 1
+    a, b = a[at:len(a) - back], b[at:len(b) - back]
+    if max(len(a), len(b)) <= most:
+        return True
+    where: dict[str, int] = {}
+    for i, c in enumerate(a):
+        where[c] = where.get(c, 0) | 1 << i
+    full, top = (1 << len(a)) - 1, 1 << max(0, len(a) - 1)
+    up, down, score = full, 0, len(a)
+    for c in b:
+        match = where.get(c, 0)
+        across = (((match & up) + up) ^ up) | match
+        plus, minus = down | ~(across | up) & full, up & across
+        score += bool(plus & top) - bool(minus & top)
+        plus, minus = plus << 1 | 1, minus << 1
+        vertical = match | down
+        up, down = (minus | ~(vertical | plus)) & full, plus & vertical & full
+    return score <= most
+
+
 def line_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, line, h1, h2, sim) of every line with words."""
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("line", T.IntegerType()),
@@ -183,9 +218,14 @@ def verified(docs: DataFrame, pairs: DataFrame, threshold: float, id_col: str, t
     text = stored(normal_lines(docs, stored(wanted, "wanted"), id_col, text_col), "line-texts")
     met = (pairs.join(text.select(F.col("node").alias("a"), F.col("line_text").alias("x")), "a")
            .join(text.select(F.col("node").alias("b"), F.col("line_text").alias("y")), "b"))
-    longer = "greatest(length(x), length(y))"
-    # A distance over the third argument comes back as -1.
-    return met.where(F.expr(f"levenshtein(x, y, cast(floor((1 - {threshold}D) * {longer} + 1e-9) as int)) >= 0")).select("a", "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = (batch.column(i).to_pylist() for i in (2, 3))
+            near = [distance_within(x, y, int((1 - threshold) * max(len(x), len(y)) + 1e-9)) for x, y in zip(left, right)]
+            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    return met.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
 def deduplicate_lines(docs: DataFrame, bits: int = 3, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -207,10 +247,15 @@ def deduplicate_lines(docs: DataFrame, bits: int = 3, threshold: float = 0.8, id
                 .join(sims.withColumnRenamed("node", "b").withColumnRenamed("sim", "y"), "b")
                 .where(F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= bits).select("a", "b"))
         links = stored(verified(known, stored(pairs.union(star).distinct(), "pairs"), threshold, id_col, text_col), "links")
-        registers = sims.select("node", F.encode(F.lpad(F.bin("sim"), BITS, "0"), "utf-8").alias("registers"))
-        more = stored(open_pairs(large.select("key", "node"), components(links), registers, 1 - (bits + 0.5) / BITS), "pairs")
-        if not more.isEmpty():
-            links = links.union(stored(verified(known, more, threshold, id_col, text_col), "links"))
+        rows = stored(open_members(large.select("key", "node"), components(links)), "open")
+
+        def near(x: list[bytes], y: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+            x, y = (np.frombuffer(b"".join(side), np.uint64) for side in (x, y))
+            return np.nonzero(np.bitwise_count(x[:, None] ^ y[None]) <= bits)
+
+        features = sims.select("node", F.unhex(F.lpad(F.hex("sim"), 16, "0")).alias("feature"))
+        more = stored(open_pairs(rows, features, near), "pairs")
+        links = links.union(stored(verified(known, more, threshold, id_col, text_col), "links"))
     groups = components(links).withColumnRenamed("node", "h1")
     linked = nodes.join(groups, "h1").groupBy("component").agg(F.min("first").alias("first"))
     kept = nodes.join(groups, "h1", "left_anti").select("first").union(linked.select("first"))

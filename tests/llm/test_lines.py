@@ -71,16 +71,16 @@ def test_op5(spark, sf, docs):
 def test_fuzzy_lines(spark, monkeypatch, hot):
     monkeypatch.setattr(lines, "HOT_BUCKET", hot)
     rng = random.Random(11)
-    base = [f"word{i}" for i in range(30)]
+    base = [f"word{i}" for i in range(90)]
     out = []
     for i in range(36):
         words = list(base)
-        for at in rng.sample(range(30), i % 3):
+        for at in rng.sample(range(90), i % 3):
             words[at] = words[at] + rng.choice("abc")
         out.append((i, "Seen  42 times.\n\n" + " ".join(words) + f"\nown line {rng.random()} number {'x' * (i % 7)}\n!!!"))
     out += [(100, "SEEN 17 TIMES"), (101, ""), (102, None), (None, "seen 42 times"), (103, "\n\n")]
     want, links = brute(out)
-    assert links > 30
+    assert links > 20
     got = lines.deduplicate_lines(spark.createDataFrame(out, "doc_id long, text string")).collect()
     order = lambda rows: sorted(map(tuple, rows), key=repr)
     assert order(got) == order(want)
@@ -110,3 +110,12 @@ def test_lines_odd(odd):
     got = lines.deduplicate_lines(odd).collect()
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, brute(rows)[0]))
     assert lines.deduplicate_lines(odd.limit(0)).count() == 0
+
+
+def test_distance():
+    rng = random.Random(4)
+    for _ in range(3000):
+        a = "".join(rng.choice("abü") for _ in range(rng.randrange(12)))
+        b = "".join(rng.choice("abü") for _ in range(rng.randrange(12)))
+        for most in range(6):
+            assert lines.distance_within(a, b, most) == (distance(a, b) <= most), (a, b, most)
