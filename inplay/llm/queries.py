@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from inplay.llm import bpe, language, lines, minhash, packing, substrings
+from inplay.llm import bpe, fingerprints, language, lines, minhash, packing, quality, substrings
 from inplay.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -18,6 +18,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(rows)
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_by_next(table(spark, sf_dir, "documents"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.remove_repeats(table(spark, sf_dir, "documents"), window=35)
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -28,6 +32,11 @@ def op5_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", F.char_length("kept").cast("long").alias("n_kept_chars"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
     coded = bpe.encode(table(spark, sf_dir, "documents"), path).withColumn("text", bpe.decode("ids", path))
