@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from inplay.llm import bpe, fingerprints, language, lines, minhash, packing, quality, substrings
+from inplay.llm import bpe, fingerprints, html, language, licenses, lines, minhash, packing, quality, substrings
 from inplay.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -27,11 +27,20 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lines.deduplicate_lines(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", "n_removed", F.char_length("kept").cast("long").alias("n_kept_chars"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -61,4 +70,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL for what another engine can compute; the others are tested against plain versions."""
+    return {"op4_license_scan": licenses.oracle()}
