@@ -28,7 +28,7 @@ from inplay.llm.minhash import central_pairs, open_members, open_pairs
 
 BITS = 64
 #: Nodes that a bucket compares pair by pair.
-HOT_BUCKET = 4096
+HOT_BUCKET = 256
 #: Bits of the filter that picks lines to be verified. It is of fixed size; what it lets through too much does no harm.
 FILTER_BITS = 1 << 25
 _NORMAL = np.array([i if i >= 128 else ord(chr(i).lower()) if chr(i).isalpha() else 48 if chr(i).isdigit() else 10 if i == 10 else 32
