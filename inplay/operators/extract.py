@@ -11,14 +11,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from inplay.functions import as_date
 from inplay.operators import checks
+from inplay.sources.landing import in_days
 from inplay.schema import DATE_COLUMN, EXTRACT_COLUMNS, LABEL_COLUMN, REQUIRED_MEASURES, SEASON_WINDOWS
 
 
-def in_seasons(column: str = DATE_COLUMN, windows: Sequence[tuple] = SEASON_WINDOWS) -> Column:
-    """Inside any season window. Date literals only, so the predicate reaches the scan."""
-    inside = [F.col(column).between(F.lit(date.fromisoformat(a)), F.lit(date.fromisoformat(b)))
-              for _, a, b in windows]
-    return reduce(or_, inside)
+def in_seasons(df: DataFrame, column: str = DATE_COLUMN, windows: Sequence[tuple] = SEASON_WINDOWS) -> Column:
+    """Inside any season window. Literals of the column's type, so the predicate reaches the scan."""
+    return reduce(or_, [in_days(df, a, b, column) for _, a, b in windows])
 
 
 def measured(columns: Sequence[str] = REQUIRED_MEASURES) -> Column:
@@ -28,7 +27,7 @@ def measured(columns: Sequence[str] = REQUIRED_MEASURES) -> Column:
 def modeling_extract(events: DataFrame, windows: Sequence[tuple] = SEASON_WINDOWS,
                      columns: Sequence[str] = EXTRACT_COLUMNS) -> DataFrame:
     """Regular-season rows with both launch measures, without columns that leak the outcome."""
-    return events.where(in_seasons(windows=windows) & measured()).select(*columns)
+    return events.where(in_seasons(events, windows=windows) & measured()).select(*columns)
 
 
 def season_calendar(spark: SparkSession, windows: Sequence[tuple] = SEASON_WINDOWS) -> DataFrame:

@@ -16,17 +16,15 @@ from inplay.operators.checks import ExpectationError, require_references
 from inplay.operators.quantiles import bracket_columns, finish_quantiles
 from inplay.schema import REFERENCE_LEVELS
 
-# A categorical column with more levels than this would make a model wider than one driver can solve.
-MAX_LEVELS = 10_000
-
 
 def numeric_summary(df: DataFrame, columns: Sequence[str]) -> tuple[int, dict[str, dict]]:
-    """Row count, and per column the median, and mean and population deviation after imputing it."""
+    """Row count, and per column the median, and mean and population deviation after imputing it. NaN is missing."""
     if not columns:
         return df.count(), {}
+    df = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns])
     stats = [F.count("*").alias("rows")]
     for c in columns:
-        stats += [F.avg(c).alias(f"mean__{c}"), F.var_pop(c).alias(f"var__{c}")]
+        stats += [F.avg(c).alias(f"mean__{c}"), F.var_pop(c).alias(f"var__{c}"), F.min(c).alias(f"low__{c}"), F.max(c).alias(f"high__{c}")]
     first = df.agg(*stats, *bracket_columns(columns)).first().asDict()
     medians = finish_quantiles(df, first, columns)
     rows, out = first["rows"], {}
@@ -34,6 +32,10 @@ def numeric_summary(df: DataFrame, columns: Sequence[str]) -> tuple[int, dict[st
         n, median = first[f"n__{c}"], medians[c]
         if not n:
             continue
+        if first[f"low__{c}"] == first[f"high__{c}"]:
+            # One value: sums would give it a scale that is nothing but rounding.
+            out[c] = {"median": median, "mean": median, "scale": 1.0}
+            continue
         # Mean and variance of the observed values joined with (rows - n) copies of the median.
         share = (rows - n) / rows
         gap = median - first[f"mean__{c}"]
@@ -52,24 +54,21 @@ def level_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def modes(counts: DataFrame) -> DataFrame:
     """Most frequent level of each column of ``level_counts``; equal counts give the smallest level."""
-    best = F.min_by("level", F.struct(-F.col("n"), F.col("level")))
-    return counts.groupBy("column").agg(best.alias("mode"))
+    return counts.groupBy("column").agg(mode_of_counts())
+
+
+def mode_of_counts() -> Column:
+    return F.min_by("level", F.struct(-F.col("n"), F.col("level"))).alias("mode")
 
 
 def learn_levels(df: DataFrame, columns: Sequence[str]) -> dict[str, dict]:
-    """Sorted levels and mode of each column."""
+    """Sorted levels and mode of each column: as many levels as the model gets columns."""
     if not columns:
         return {}
-    limit = MAX_LEVELS * len(columns)
-    found = level_counts(df, columns).limit(limit + 1).collect()
-    if len(found) > limit:
-        raise ExpectationError(f"more than {limit} levels in {list(columns)}; these are not categories")
-    out = {}
-    for c in columns:
-        counts = {r["level"]: r["n"] for r in found if r["column"] == c}
-        mode = min(counts, key=lambda v: (-counts[v], v)) if counts else None
-        out[c] = {"levels": sorted(counts), "mode": mode}
-    return out
+    counts = level_counts(df, columns)
+    levels = counts.groupBy("column").agg(F.sort_array(F.collect_list("level")).alias("levels"), mode_of_counts())
+    found = {r["column"]: {"levels": r["levels"], "mode": r["mode"]} for r in levels.collect()}
+    return {c: found.get(c, {"levels": [], "mode": None}) for c in columns}
 
 
 class _TableParams(Params):

@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from inplay.functions import hit_label
+from inplay.functions import as_date, hit_label
 from inplay.operators.prefix import ordered_index
 from inplay.schema import DATE_COLUMN, EVENT_COLUMNS, EVENT_SCHEMA, KEY_COLUMN
+from inplay.sources.landing import in_days
 
-# A list of days this long still fits any executor; longer ranges are left to the optimizer.
-MAX_BROADCAST_DAYS = 100_000
 # Bits of the row hash that cut a day into cells for numbering.
 _CELL_BITS = 14
 
@@ -60,23 +59,20 @@ def spine_between(bounds: DataFrame, first: str, last: str, name: str = DATE_COL
 
 
 def loaded_days(table: DataFrame, start: str | date | None = None, end: str | date | None = None) -> DataFrame:
-    """Distinct days with at least one stored row."""
-    if start is not None:
-        table = table.where(F.col(DATE_COLUMN) >= F.lit(_day(start)))
-    if end is not None:
-        table = table.where(F.col(DATE_COLUMN) <= F.lit(_day(end)))
-    return table.select(DATE_COLUMN).distinct()
+    """Distinct days with at least one stored row, as dates."""
+    if start is not None or end is not None:
+        table = table.where(in_days(table, _day(start or date.min), _day(end or date.max)))
+    return table.select(as_date(DATE_COLUMN).alias(DATE_COLUMN)).distinct()
 
 
-def unloaded(incoming: DataFrame, days: DataFrame, max_days: int | None = None) -> DataFrame:
+def unloaded(incoming: DataFrame, days: DataFrame) -> DataFrame:
     """Rows of days that are not stored yet. A day with any stored row is left out as a whole.
 
-    ``max_days`` is a known upper bound on the number of rows of ``days``; within the broadcast limit
-    the day list is sent to the tasks, else the join strategy is left to the optimizer.
+    The distinct days are sent to all tasks: by their type there are at most 3.65 million (years 1 to 9999), some
+    tens of MB, whatever the tables hold. A join on the day, of all keys the hottest, would shuffle the rows.
     """
-    if max_days is not None and max_days <= MAX_BROADCAST_DAYS:
-        days = F.broadcast(days)
-    return incoming.join(days, DATE_COLUMN, "left_anti")
+    days = F.broadcast(days.select(as_date(DATE_COLUMN).alias("__day")).distinct())
+    return incoming.join(days, as_date(DATE_COLUMN) == F.col("__day"), "left_anti")
 
 
 def days_between(start: str | date, end: str | date) -> int:
@@ -89,11 +85,11 @@ def load_report(stored: DataFrame, incoming: DataFrame, start: str | date, end:
     Both sides are cut to the range before they are counted, so each has at most one row per day of it.
     """
     spine = date_spine(stored.sparkSession, start, end)
-    inside = F.col(DATE_COLUMN).between(F.lit(_day(start)), F.lit(_day(end)))
 
     def counted(df: DataFrame, name: str) -> DataFrame:
-        days = df.where(inside).groupBy(DATE_COLUMN).agg(F.count("*").alias(name))
-        return F.broadcast(days) if days_between(start, end) <= MAX_BROADCAST_DAYS else days
+        inside = df.where(in_days(df, _day(start), _day(end)))
+        # One row a day at most, see unloaded().
+        return F.broadcast(inside.groupBy(as_date(DATE_COLUMN).alias(DATE_COLUMN)).agg(F.count("*").alias(name)))
 
     joined = (spine.join(counted(stored, "stored_rows"), DATE_COLUMN, "left")
                    .join(counted(incoming, "incoming_rows"), DATE_COLUMN, "left"))
@@ -124,5 +120,5 @@ def assign_keys(rows: DataFrame, after: int = 0, name: str = KEY_COLUMN) -> Data
 
 
 def _day(value: str | date) -> date:
-    """Strict ISO day; anything else raises."""
-    return value if isinstance(value, date) else date.fromisoformat(value)
+    """Strict YYYY-MM-DD day; anything else raises."""
+    return value if isinstance(value, date) else datetime.strptime(value, "%Y-%m-%d").date()

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from inplay.functions import as_label, count_where, month_start, percent, rate, season
+from inplay.functions import as_date, as_label, count_where, month_start, percent, rate, season
 from inplay.schema import (
     CONTACT_BOUNDS, DATE_COLUMN, HIT_EVENTS, LABEL_COLUMN, MISSING_ALWAYS_TRACKED, MISSING_SWING, Bounds,
 )
@@ -15,7 +15,7 @@ from inplay.schema import (
 def period(grain: str, column: str = DATE_COLUMN) -> Column:
     """Bucket of a date column: ``day``, ``month`` or ``year``, under its report name."""
     if grain == "day":
-        return F.col(column).alias(column)
+        return as_date(column).alias(column)
     if grain == "month":
         return month_start(column).alias("year_month")
     if grain == "year":
@@ -41,11 +41,11 @@ def counts_by(df: DataFrame, grain: str, column: str = DATE_COLUMN) -> DataFrame
 
 
 def distinct_days(df: DataFrame, column: str = DATE_COLUMN) -> DataFrame:
-    return df.agg(F.count_distinct(column).alias("total_number_of_days_w_bbe"))
+    return df.agg(F.count_distinct(as_date(column)).alias("total_number_of_days_w_bbe"))
 
 
 def distinct_days_by_year(df: DataFrame, column: str = DATE_COLUMN) -> DataFrame:
-    return df.groupBy(period("year", column)).agg(F.count_distinct(column).alias("number_of_days_w_bbe"))
+    return df.groupBy(period("year", column)).agg(F.count_distinct(as_date(column)).alias("number_of_days_w_bbe"))
 
 
 def rate_by(df: DataFrame, grain: str, label: str = LABEL_COLUMN, column: str = DATE_COLUMN) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from inplay.functions import as_date, count_where, percent_text, round_half_even, safe_ratio, thousands
 from inplay.operators.checks import ExpectationError, require_rows as require_rows_in
+from inplay.sources.landing import in_days
 from inplay.schema import BASELINE_WINDOW, DATE_COLUMN, LABEL_COLUMN, MODEL_B_FEATURES, Window
 
 
@@ -32,8 +33,7 @@ def split_column(window: Window = BASELINE_WINDOW, column: str = DATE_COLUMN) ->
 def with_split(df: DataFrame, window: Window = BASELINE_WINDOW, column: str = DATE_COLUMN) -> DataFrame:
     """Rows of either split, tagged. The date filter is kept apart so that it reaches the scan."""
     start, end, test = _check_order(window)
-    day = as_date(column)
-    kept = df.where(day.between(F.lit(start), F.lit(end)) | (day >= F.lit(test)))
+    kept = df.where(in_days(df, start, end, column) | in_days(df, test, date.max, column))
     return kept.withColumn("split", split_column(window, column))
 
 
@@ -41,28 +41,30 @@ def time_split(df: DataFrame, window: Window = BASELINE_WINDOW, column: str = DA
                require_rows: bool = False) -> tuple[DataFrame, DataFrame]:
     """Train and test by date; never random. ``require_rows`` probes both sides for a first row."""
     start, end, test = _check_order(window)
-    dated = df.withColumn(column, as_date(column))
-    train = dated.where(F.col(column).between(F.lit(start), F.lit(end)))
-    later = dated.where(F.col(column) >= F.lit(test))
+    train, later = (df.where(in_days(df, a, b, column)).withColumn(column, as_date(column))
+                    for a, b in ((start, end), (test, date.max)))
     if require_rows:
         require_rows_in(train, "train split")
         require_rows_in(later, "test split")
     return train, later
 
 
-def complete(columns: Sequence[str] = MODEL_B_FEATURES) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+def complete(df: DataFrame, columns: Sequence[str] = MODEL_B_FEATURES) -> Column:
+    """A value in every listed column of ``df``; NaN is none."""
+    kinds = dict(df.dtypes)
+    known = [F.col(c).isNotNull() & ~F.isnan(c) if kinds[c] in ("double", "float") else F.col(c).isNotNull() for c in columns]
+    return reduce(lambda a, b: a & b, known)
 
 
 def complete_cases(df: DataFrame, columns: Sequence[str] = MODEL_B_FEATURES) -> DataFrame:
     """Rows with a value in every listed column."""
-    return df.where(complete(columns))
+    return df.where(complete(df, columns))
 
 
 def row_loss(tagged: DataFrame, columns: Sequence[str] = MODEL_B_FEATURES) -> DataFrame:
     """Rows before and after the complete-case rule, per split, with report text."""
     counted = tagged.groupBy("split").agg(F.count("*").alias("rows_before"),
-                                          count_where(complete(columns)).alias("rows_after"))
+                                          count_where(complete(tagged, columns)).alias("rows_after"))
     dropped = F.col("rows_before") - F.col("rows_after")
     share = safe_ratio(dropped, F.col("rows_before"))
     return counted.select(

@@ -263,7 +263,8 @@ def season_semi_join(spark, sf):
 @register
 def extract_check(spark, sf):
     """Rows and dates of the filtered table against those of the view, from one scan each."""
-    table, inside = _table(spark, sf), extract.in_seasons() & extract.measured()
+    table = _table(spark, sf)
+    inside = extract.in_seasons(table) & extract.measured()
     bounds = [F.count("*").alias("n"), F.min(DATE_COLUMN).alias("a"), F.max(DATE_COLUMN).alias("b")]
     sides = (table.where(inside).agg(*bounds).withColumn("side", F.lit("table"))
              .unionByName(_extract(spark, sf).agg(*bounds).withColumn("side", F.lit("view"))))

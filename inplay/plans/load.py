@@ -23,7 +23,7 @@ class LoadResult:
 def rows_to_load(pitches: DataFrame, stored: DataFrame, start: str, end: str) -> DataFrame:
     """Cleaned batted balls of the range whose day is not stored yet."""
     incoming = clean_batted_balls(scan_days(pitches, start, end))
-    return unloaded(incoming, loaded_days(stored, start, end), days_between(start, end)).select(*EVENT_COLUMNS)
+    return unloaded(incoming, loaded_days(stored, start, end)).select(*EVENT_COLUMNS)
 
 
 def load_range(pitches: DataFrame, table: EventTable, start: str, end: str) -> LoadResult:
@@ -31,12 +31,14 @@ def load_range(pitches: DataFrame, table: EventTable, start: str, end: str) -> L
 
     Loading the same range again appends nothing. A day with any stored row is skipped, even if partial.
     The appended rows are those with keys above the last one, so counting them is a read of the new files
-    and stays right when tasks are retried.
+    and stays right when tasks are retried. The report names its keys by both ends, so later loads do not change
+    it. One load at a time: two at once would give the same keys.
     """
     if not days_between(start, end):
         return LoadResult(0, load_report(table.read(), table.read(), start, end))
     last = table.last_key()
     table.append(assign_keys(rows_to_load(pitches, table.read(), start, end), after=last))
     before = table.read().where(F.col(KEY_COLUMN) <= last)
-    appended = table.read().where(F.col(KEY_COLUMN) > last)
-    return LoadResult(appended.count(), load_report(before, appended, start, end))
+    inserted = table.read().where(F.col(KEY_COLUMN) > last).count()
+    appended = table.read().where((F.col(KEY_COLUMN) > last) & (F.col(KEY_COLUMN) <= last + inserted))
+    return LoadResult(inserted, load_report(before, appended, start, end))

@@ -15,6 +15,8 @@ def in_days(df: DataFrame, start: str | date, end: str | date, column: str = DAT
     first = start if isinstance(start, date) else date.fromisoformat(start)
     last = end if isinstance(end, date) else date.fromisoformat(end)
     kind = df.schema[column].dataType
+    if last == date.max:
+        return F.col(column) >= F.lit(first.isoformat() if isinstance(kind, T.StringType) else first).cast(kind)
     after = last + timedelta(days=1)
     if isinstance(kind, T.StringType):
         return (F.col(column) >= F.lit(first.isoformat())) & (F.col(column) < F.lit(after.isoformat()))

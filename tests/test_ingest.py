@@ -1,6 +1,8 @@
 from datetime import date
 from types import SimpleNamespace
 
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,7 +91,8 @@ def table(spark, request):
 
 def test_load_is_idempotent_and_skips_partial_days(spark, table):
     first = frame(spark, pitch("2021-05-02", launch_speed=1.0))
-    assert load_range(first, table, "2021-05-01", "2021-05-31").total_inserted == 1
+    one = load_range(first, table, "2021-05-01", "2021-05-31")
+    assert one.total_inserted == 1
     feed = frame(spark, pitch("2021-05-02", launch_speed=2.0), pitch("2021-05-02", launch_speed=3.0),
                  pitch("2021-05-04"), pitch("2021-05-04", events="double"), pitch("2021-05-04", bb_type=None),
                  pitch("2021-06-30"))
@@ -98,6 +101,8 @@ def test_load_is_idempotent_and_skips_partial_days(spark, table):
     report = {r["game_date"].day: (r["status"], r["loaded_rows"]) for r in result.report.collect()}
     assert report == {1: ("no rows", 0), 2: ("already loaded", 0), 3: ("no rows", 0), 4: ("loaded", 2), 5: ("no rows", 0)}
     assert ingest.load_total(result.report).first()[0] == 2
+    # Reports do not change with later loads.
+    assert ingest.load_total(one.report).first()[0] == 1
     assert load_range(feed, table, "2021-05-01", "2021-05-05").total_inserted == 0
     assert table.count() == 3
     assert sorted(r[0] for r in table.read().select(KEY_COLUMN).collect()) == [1, 2, 3]
@@ -164,3 +169,13 @@ def test_connection_options():
     assert partitioned_read(options, date(2021, 1, 1), date(2021, 12, 31), 12)["numPartitions"] == "12"
     with pytest.raises(ValueError, match="DB_PASSWORD"):
         connection_options({"DB_NAME": "games", "DB_USER": "u"})
+
+
+def test_timestamps_keep_the_last_day(spark):
+    df = spark.sql("SELECT timestamp'2021-10-03 18:00:00' AS game_date UNION ALL SELECT timestamp'2021-10-04 01:00:00'")
+    from inplay.operators import extract, quality
+
+    assert df.where(extract.in_seasons(df)).count() == 1
+    assert ingest.loaded_days(df, "2021-10-03", "2021-10-03").count() == 1
+    assert quality.distinct_days(df.union(df)).first()[0] == 2
+    assert [r[0] for r in ingest.load_report(df.limit(0), df, "2021-10-01", "2021-10-03").where("loaded_rows = 1").collect()] == [datetime.date(2021, 10, 3)]

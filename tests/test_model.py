@@ -8,7 +8,7 @@ from inplay.functions import (
 )
 from inplay.operators import metrics, profile, split
 from inplay.operators.checks import ExpectationError
-from inplay.operators.features import TablePreprocessor, TablePreprocessorModel, learn_levels
+from inplay.operators.features import TablePreprocessor, TablePreprocessorModel, learn_levels, numeric_summary
 from inplay.operators.model import (
     TableClassifier, coefficient_impact, coefficients, score, score_by_transform,
 )
@@ -63,10 +63,19 @@ def test_no_rows_raise(spark, extract):
         experiments.baseline_experiment(extract.where("game_date < DATE '2025-01-01'"))
 
 
-def test_too_many_levels_raise(spark, monkeypatch):
-    monkeypatch.setattr("inplay.operators.features.MAX_LEVELS", 3)
-    with pytest.raises(ExpectationError, match="levels"):
-        learn_levels(spark.range(10).select(F.col("id").cast("string").alias("kind")), ["kind"])
+def test_any_number_of_levels_is_learnt(spark):
+    rows = spark.range(20_000).select(F.when(F.col("id") > 1, F.col("id")).otherwise(5).cast("string").alias("kind"))
+    learnt = learn_levels(rows, ["kind"])["kind"]
+    assert learnt["mode"] == "5" and learnt["levels"] == sorted({str(i) for i in range(2, 20_000)})
+
+
+def test_nan_is_missing_and_a_constant_column_is_not_scaled(spark):
+    rows = [(0.1, float("nan"))] * 700 + [(None, 3.0)] + [(0.1, 5.0)] * 300
+    _, summary = numeric_summary(spark.createDataFrame(rows, "x double, y double"), ["x", "y"])
+    assert summary["x"] == {"median": 0.1, "mean": 0.1, "scale": 1.0}
+    assert summary["y"]["median"] == 5.0 and 0 < summary["y"]["scale"] < 1
+    model = fit_small(small(spark, [(float("nan"), "b", True), (2.0, "a", False), (4.0, "b", True)]))
+    assert model.feature_names[-1] == "categorical__kind_b"
 
 
 def test_preprocessor_can_be_saved(spark, tmp_path):
