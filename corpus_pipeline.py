@@ -10,42 +10,64 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from inplay.llm import language, lines, minhash, packing, queries, substrings
-from inplay.llm.common import stored, table
+from inplay.llm.common import forget, stored, table, written
 
 
-def _with_text(docs: DataFrame, found: DataFrame, changed: str) -> DataFrame:
-    """``docs`` with the text ``kept`` where ``changed`` says so. A text of which nothing is left goes, one without words stays as it was."""
-    found = found.select(F.col("doc_id").alias("_id"), F.col("kept").alias("_kept"), F.expr(changed).alias("_changed")).distinct()
-    met = docs.join(found, docs["doc_id"].eqNullSafe(found["_id"]))
-    text = F.when(F.col("_changed"), F.col("_kept")).otherwise(F.col("text"))
-    met = met.where(~F.col("_changed") | F.col("_kept").rlike(r"[^\x20\x09-\x0D]"))
-    columns = {"text": text, "n_chars": F.when(F.col("_changed"), F.char_length("_kept").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))}
-    return met.select(*(columns.get(c, F.col(c)).alias(c) for c in docs.columns))
+def _others(docs: DataFrame) -> list[str]:
+    return [c for c in docs.columns if c not in ("doc_id", "text")]
+
+
+def _with_kept(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The columns of ``docs`` with the text ``kept``. A text of which nothing is left goes, one that lost nothing stays as it was."""
+    found = found.where((F.col("n_removed") == 0) | F.col("kept").rlike(r"[^\x20\x09-\x0D]"))
+    columns = {"doc_id": F.col("doc_id"), "text": F.col("kept")} | {c: F.col("carry").getField(c) for c in _others(docs)}
+    columns["n_chars"] = F.when(F.col("n_removed") > 0, F.char_length("kept").cast(docs.schema["n_chars"].dataType)).otherwise(columns["n_chars"])
+    return found.select(*(columns[c].alias(c) for c in docs.columns))
+
+
+_since = 0
+
+
+def _begin(spark: SparkSession, first: bool = False) -> None:
+    """Delete what the stage before has put aside: a stage begins once that one's result has been written."""
+    global _since
+    if not first:
+        forget(spark, _since, [_slug(k) for k in range(len(STAGES))])
+    _since = written()
+
+
+def _slug(k: int) -> str:
+    return f"stage{k}"
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts whose language is recognised."""
+    _begin(spark, first=True)
     return language.identified(docs).where(~F.col("_language.rejected")).select(*docs.columns)
 
 
 def deduplicate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that occurred before; documents that lose all lines go."""
-    return _with_text(docs, lines.deduplicate_lines(docs), "n_removed > 0")
+    _begin(spark)
+    return _with_kept(docs, lines.deduplicate_lines(docs, carry=_others(docs)))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each class, once; rows without an id stay."""
+    _begin(spark)
     found = minhash.near_duplicates(docs).select(F.col("doc_id").alias("_id"), "class_id").where("_id = class_id").select("_id").distinct()
     return docs.where("doc_id IS NULL").unionByName(docs.join(found, docs["doc_id"] == found["_id"]).dropDuplicates(["doc_id"]).select(*docs.columns))
 
 
 def remove_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without windows of 35 words that occur anywhere else; documents of which nothing is left go."""
-    return _with_text(docs, substrings.remove_repeats(docs, 35), "n_removed > 0")
+    _begin(spark)
+    return _with_kept(docs, substrings.remove_repeats(docs, 35, carry=_others(docs), as_it_was=True))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece with its sequence of at most 4096 tokens and its place there."""
+    _begin(spark)
     return packing.pack(packing.pieces(docs, public_tokenizers.path(queries.TOKENIZER)))
 
 
@@ -64,7 +86,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage; what every other stage returns is written to the shared folder and read again."""
     docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
-        docs = docs if k == len(STAGES) - 1 else stored(docs, name.split(" ")[0].lower())
+        docs = docs if k == len(STAGES) - 1 else stored(docs, _slug(k))
     return docs

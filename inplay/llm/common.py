@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from inplay.session import shared_folder
 
@@ -20,6 +20,7 @@ _SPACE[list(SPACES)] = True
 _LONG = 48
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _folders: dict[str, str] = {}
+_paths: list[str] = []
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -29,10 +30,29 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     if app not in _folders:
         _folders[app] = f"{shared_folder(spark)}/llm-{app}"
     path = f"{_folders[app]}/{name}-{uuid.uuid4().hex}"
+    _paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written() -> int:
+    """How many tables ``stored`` has written so far."""
+    return len(_paths)
+
+
+def forget(spark: SparkSession, since: int, kept: Sequence[str] = ()) -> None:
+    """Delete the tables written after the first ``since``, but those under the names ``kept``."""
+    for folder in _paths[since:]:
+        if folder.rsplit("/", 1)[1].rsplit("-", 1)[0] not in kept:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def carried(docs: DataFrame, columns: Sequence[str]) -> list[T.StructField]:
+    """The field of a struct ``carry`` of these columns, if there are any."""
+    return [T.StructField("carry", T.StructType([docs.schema[c] for c in columns]))] if columns else []
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -15,20 +15,20 @@ part. Rows that share an id are one document: a place that one keeps, all keep.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from inplay.llm.common import Words, mix, slices, stored, text_bytes
+from inplay.llm.common import Words, carried, mix, slices, stored, text_bytes
 from inplay.llm.components import components
 from inplay.llm.minhash import central_pairs, open_members, open_pairs
 
 BITS = 64
 #: Nodes that a bucket compares pair by pair.
-HOT_BUCKET = 256
+HOT_BUCKET = 4096
 #: Bits of the filter that picks lines to be verified. It is of fixed size; what it lets through too much does no harm.
 FILTER_BITS = 1 << 25
 _NORMAL = np.array([i if i >= 128 else ord(chr(i).lower()) if chr(i).isalpha() else 48 if chr(i).isdigit() else 10 if i == 10 else 32
@@ -228,8 +228,12 @@ def verified(docs: DataFrame, pairs: DataFrame, threshold: float, id_col: str, t
     return met.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def deduplicate_lines(docs: DataFrame, bits: int = 3, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_lines, n_removed, kept): every row's text without the lines that occur before, here or in another text."""
+def deduplicate_lines(docs: DataFrame, bits: int = 3, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text",
+                      carry: Sequence[str] = ()) -> DataFrame:
+    """(id, n_lines, n_removed, kept): every row's text without the lines that occur before, here or in another text.
+
+    The columns ``carry`` come along as they are, in a struct of this name.
+    """
     known = docs.where(F.col(id_col).isNotNull())
     lines = stored(line_rows(known, id_col, text_col), "lines")
     nodes = stored(lines.groupBy("h1", "h2").agg(F.min(F.struct("id", "line")).alias("first"), F.first("sim").alias("sim")), "nodes")
@@ -274,11 +278,11 @@ def deduplicate_lines(docs: DataFrame, bits: int = 3, threshold: float = 0.8, id
                 left = parts if own is None else [x for i, x in enumerate(parts) if i in own or not x.strip(blank)]
                 lines.append(len(parts)), removed.append(len(parts) - len(left)), out.append(b"\n".join(left))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(lines, pa.int64()), pa.array(removed, pa.int64()), pa.array(out, pa.binary()).cast(pa.string())],
-                ["id", "n_lines", "n_removed", "kept"])
+                [batch.column(0), pa.array(lines, pa.int64()), pa.array(removed, pa.int64()), pa.array(out, pa.binary()).cast(pa.string()), *batch.columns[3:]],
+                schema.names)
 
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("n_lines", T.LongType()),
-                           T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())])
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    met = source.join(places, "id", "left").select("id", "text", F.when(F.col("id").isNotNull(), F.coalesce("places", F.array().cast("array<int>"))).alias("places"))
+                           T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType()), *carried(docs, carry)])
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *([F.struct(*carry).alias("carry")] if carry else []))
+    met = source.join(places, "id", "left").select("id", "text", F.when(F.col("id").isNotNull(), F.coalesce("places", F.array().cast("array<int>"))).alias("places"), *(["carry"] if carry else []))
     return met.mapInArrow(run, schema).withColumnRenamed("id", id_col)

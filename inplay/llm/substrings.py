@@ -14,11 +14,13 @@ shorter than the window keep all words. An empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from inplay.llm.common import Words
+from inplay.llm.common import Words, carried
 
 #: Bytes of text in a chunk, and hashes in a bucket, on average. They bound a task's memory.
 CHUNK_BYTES = 8 << 20
@@ -51,15 +53,17 @@ def intervals(covered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
-def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text",
+                   carry: Sequence[str] = (), as_it_was: bool = False) -> DataFrame:
     """(id, n_words, n_removed, removed, kept): ``removed`` are intervals of word positions [begin, end), ``kept`` is the
-    text of all other words joined by one space. One row for each row of ``docs``.
+    text of all other words joined by one space, or if ``as_it_was`` the text itself where no word is removed. One row for
+    each row of ``docs``. The columns ``carry`` come along as they are, in a struct of this name.
     """
     size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
     chunks = max(8, -(-size // CHUNK_BYTES))
     # A word and its space take two bytes at least; six are usual.
     parts = _FIRST * max(1, -(-size // (6 * BUCKET_HASHES * _FIRST)))
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *([F.struct(*carry).alias("carry")] if carry else []))
     dealt = source.withColumn("chunk", F.pmod(F.xxhash64("id", "text"), F.lit(chunks)).cast("int"))
     step = (1 << 64) // parts
 
@@ -109,15 +113,17 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", te
                 lost.append(int(gone.sum()))
                 spans.append([{"begin": int(x), "end": int(y)} for x, y in zip(*intervals(gone))] if lost[-1] else [])
                 kept.append(b" ".join([data[starts[i]:ends[i]] for i in left]))
+        if as_it_was:
+            kept = [(t if t is None else t.encode()) if not n else k for t, n, k in zip(rows["text"].to_pylist(), lost, kept)]
         return pa.table({
             "id": rows["id"], "n_words": pa.array(total, pa.int64()), "n_removed": pa.array(lost, pa.int64()),
             "removed": pa.array(spans, pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))),
-            "kept": pa.array(kept, pa.binary()).cast(pa.string())})
+            "kept": pa.array(kept, pa.binary()).cast(pa.string()), **({"carry": rows["carry"]} if carry else {})})
 
     answers = (dealt.groupBy("chunk").applyInArrow(send, "bucket int, chunk int, hashes binary")
                .groupBy("bucket").applyInArrow(count, "chunk int, bucket int, bits binary"))
     schema = T.StructType([
         T.StructField("id", docs.schema[id_col].dataType), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
         T.StructField("removed", T.ArrayType(T.StructType([T.StructField("begin", T.LongType()), T.StructField("end", T.LongType())]))),
-        T.StructField("kept", T.StringType())])
+        T.StructField("kept", T.StringType()), *carried(docs, carry)])
     return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(remove, schema).withColumnRenamed("id", id_col)

@@ -13,6 +13,7 @@ from test_texts import WORD, removed  # noqa: E402
 from test_tokens import check_packing  # noqa: E402
 
 from inplay.llm import language, queries  # noqa: E402
+from inplay.llm.common import stored  # noqa: E402
 
 
 def test_pipeline(spark, sf, docs):
@@ -38,7 +39,7 @@ def test_stages_keep_columns(spark, odd):
     """Odd rows and extra columns pass all stages."""
     rows = odd
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        out = stage(spark, rows, "")
+        out = stored(stage(spark, rows, ""), "stage0")
         assert out.columns == rows.columns, name
         assert out.count() <= rows.count()
         rows = out
