@@ -6,8 +6,10 @@ same words are one node. The 64 bits of a node's SimHash are cut into blocks; tw
 no such pair. Candidates whose Hamming distance is small enough are linked if the edit similarity of their
 normalised lines is at least ``threshold``. Of the lines of a connected group the first, by id and place, stays.
 
-A bucket's nodes are compared by vectorised Hamming distances. In buckets over ``HOT_BUCKET`` nodes each is first
-compared with the most central one, and then, in blocks, with nodes of other components, as in ``minhash``.
+A bucket's nodes are compared by vectorised Hamming distances. In buckets over ``SMALL_BUCKET`` nodes each is linked
+to the least near one first; of the other near pairs, only those between components that this leaves are verified. In
+buckets over ``HOT_BUCKET`` nodes each is first compared with the most central one, and then, in blocks, with nodes of
+other components, as in ``minhash``.
 
 Defined cases: lines without words stay. A null text stays null. Rows without an id stay as they are and take no
 part. Rows that share an id are one document: a place that one keeps, all keep. An empty table gives an empty result.
@@ -27,7 +29,9 @@ from inplay.llm.components import components
 from inplay.llm.minhash import central_pairs, open_members, open_pairs
 
 BITS = 64
-#: Nodes that a bucket compares pair by pair.
+#: Nodes of a bucket all of whose near pairs are verified at once; in a larger one, those that others leave open.
+SMALL_BUCKET = 64
+#: Nodes that one task compares; larger buckets are cut into blocks.
 HOT_BUCKET = 4096
 #: Bits of the filter that picks lines to be verified. It is of fixed size; what it lets through too much does no harm.
 FILTER_BITS = 1 << 25
@@ -55,22 +59,34 @@ def split_lines(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
 
 
 def simhash(hashed: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """For each run of words the bits that more than half of its distinct words have.
+    """For each run of words the bits that more than half of its distinct words have; words are told apart by 40 bits.
 
     Counting words once keeps the few words that every long line repeats from deciding.
     """
     out = np.zeros(len(first) - 1, np.uint64)
-    line = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    order = np.lexsort((hashed, line))
-    hashed, line = hashed[order], line[order]
-    fresh = np.concatenate([[True], (hashed[1:] != hashed[:-1]) | (line[1:] != line[:-1])])[:len(hashed)]
-    hashed, line = hashed[fresh], line[fresh]
-    full, begin, size = np.unique(line, return_index=True, return_counts=True)
-    for a in range(0, len(full), 4096):
-        own, at, n = full[a:a + 4096], begin[a:a + 4096], size[a:a + 4096]
-        bits = np.unpackbits(hashed[at[0]:at[-1] + n[-1]].view(np.uint8).reshape(-1, 8), axis=1)
-        ones = np.add.reduceat(bits, at - at[0], axis=0, dtype=np.int32)
-        out[own] = np.packbits(2 * ones > n[:, None], axis=1).view(np.uint64)[:, 0]
+    for a in range(0, len(out), 1 << 16):
+        cut = first[a:a + (1 << 16) + 1]
+        key = np.repeat(np.arange(len(cut) - 1, dtype=np.uint64), np.diff(cut)) << np.uint64(40) | hashed[cut[0]:cut[-1]] >> np.uint64(24)
+        if not len(key):
+            continue
+        key.sort()
+        key = key[np.concatenate([[True], key[1:] != key[:-1]])]
+        line = (key >> np.uint64(40)).astype(np.int64)
+        begin = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
+        size = np.diff(begin, append=len(key))
+        # Ones are counted in bytes, eight of them in an integer, so at most 255 words go into one sum.
+        parts = -(-size // 255)
+        owner = np.repeat(np.arange(len(begin)), parts)
+        at = begin[owner] + 255 * (np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts))
+        ones = np.zeros((len(begin), BITS), np.int32)
+        for c in range(0, len(at), 4096):
+            low, high = at[c], at[c + 4096] if c + 4096 < len(at) else len(key)
+            bits = np.unpackbits(mix(key[low:high] << np.uint64(24)).view(np.uint8)).view(np.uint64).reshape(-1, 8)
+            sums = np.add.reduceat(bits, at[c:c + 4096] - low, axis=0).view(np.uint8)
+            own = owner[c:c + 4096]
+            fresh = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+            ones[own[fresh]] += sums if len(fresh) == len(own) else np.add.reduceat(sums, fresh, axis=0, dtype=np.int32)
+        out[a + line[begin]] = np.packbits(2 * ones > size[:, None], axis=1).view(np.uint64)[:, 0]
     return out
 
 
@@ -158,35 +174,60 @@ def keys(blocks: int, bits: int) -> list:
 
 
 def bucket_pairs(members: DataFrame, bits: int) -> DataFrame:
-    """(a, b): nodes of (key, node, sim) that share a key and differ in ``bits`` bits at most."""
+    """(a, b, key): nodes of (key, node, sim[, component]) that share a key and differ in ``bits`` bits at most; a > b.
+
+    A bucket of up to ``SMALL_BUCKET`` nodes gives all pairs, under no key. From a larger one each node comes with the
+    least node near it, or, if it is the least itself, with the next: so many pairs as nodes, which name every node
+    that has a near one. With components, all pairs of different components are given instead.
+    """
+    split = "component" in members.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left = None
         for batch in batches:
-            key, node, sim = (batch.column(i).to_numpy() for i in range(3))
+            columns = [c.to_numpy() for c in batch.columns]
             if left is not None:
-                key, node, sim = (np.concatenate([x, y]) for x, y in zip(left, (key, node, sim)))
-            a, b, step = [], [], 1
+                columns = [np.concatenate(x) for x in zip(left, columns)]
+            key, node, sim = columns[:3]
+            begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[:len(key)])
+            size = np.diff(begin, append=len(key))
+            large = np.repeat((size > SMALL_BUCKET) & (not split), size)
+            place = np.arange(len(key))
+            least, after = place.copy(), place.copy()
+            i, j, step = [], [], 1
             at = np.flatnonzero(key[1:] == key[:-1])
             while len(at):
                 near = at[np.bitwise_count((sim[at] ^ sim[at + step]).view(np.uint64)) <= bits]
-                a.append(np.maximum(node[near], node[near + step]))
-                b.append(np.minimum(node[near], node[near + step]))
+                if split:
+                    near = near[columns[3][near] != columns[3][near + step]]
+                some = near[~large[near]]
+                i.append(some + step)
+                j.append(some)
+                near = near[large[near]]
+                # Steps grow, so the last smaller node found is the least and the first larger one the next.
+                least[near + step] = near
+                near = near[after[near] == near]
+                after[near] = near + step
                 step += 1
                 at = at[at + step < len(key)]
                 at = at[key[at] == key[at + step]]
             # The last bucket may go on in the next batch; its pairs are then found again and made distinct later.
             last = np.searchsorted(np.flip(key) != key[-1], True) if len(key) else 0
-            left = tuple(x[len(key) - last:] for x in (key, node, sim))
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+            left = [x[len(key) - last:] for x in columns]
+            # Rows of small buckets have neither.
+            second, alone = np.flatnonzero(least < place), np.flatnonzero((least == place) & (after > place))
+            i += [second, after[alone]]
+            j += [least[second], alone]
+            i, j = np.concatenate(i), np.concatenate(j)
+            yield pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[j]), pa.array(key[i], mask=~large[i])], ["a", "b", "key"])
 
-    dealt = members.repartition("key").sortWithinPartitions("key")
-    return dealt.select("key", "node", "sim").mapInArrow(run, "a long, b long").distinct()
+    dealt = members.repartition("key").sortWithinPartitions("key", "node")
+    return dealt.select("key", "node", "sim", *(["component"] if split else [])).mapInArrow(run, "a long, b long, key long")
 
 
-def normal_lines(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(node, line_text): normalised lines of the nodes (node) wanted; words are joined by one space."""
+def normal_lines(docs: DataFrame, pairs: DataFrame, text_col: str) -> DataFrame:
+    """(node, line_text): normalised lines of the nodes that ``pairs`` (a, b) name; words are joined by one space."""
+    wanted = stored(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "wanted")
     size = FILTER_BITS // 64
     place = F.pmod(F.col("node"), F.lit(FILTER_BITS))
     words = (wanted.groupBy(F.floor(place / 64).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(node, {FILTER_BITS}) % 64 as int))")).alias("bits")))
@@ -209,13 +250,11 @@ def normal_lines(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str)
                     yield pa.RecordBatch.from_arrays([pa.array(node[some]), pa.array(text, pa.binary()).cast(pa.string())], ["node", "line_text"])
 
     sent = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "node long, line_text string")
-    return sent.groupBy("node").agg(F.min("line_text").alias("line_text")).join(wanted, "node", "left_semi")
+    return stored(sent.groupBy("node").agg(F.min("line_text").alias("line_text")).join(wanted, "node", "left_semi"), "line-texts")
 
 
-def verified(docs: DataFrame, pairs: DataFrame, threshold: float, id_col: str, text_col: str) -> DataFrame:
-    """The pairs (a, b) whose normalised lines have an edit similarity of ``threshold``: 1 - distance / longer length."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    text = stored(normal_lines(docs, stored(wanted, "wanted"), id_col, text_col), "line-texts")
+def verified(text: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) whose lines in ``text`` have an edit similarity of ``threshold``: 1 - distance / longer length."""
     met = (pairs.join(text.select(F.col("node").alias("a"), F.col("line_text").alias("x")), "a")
            .join(text.select(F.col("node").alias("b"), F.col("line_text").alias("y")), "b"))
 
@@ -225,7 +264,17 @@ def verified(docs: DataFrame, pairs: DataFrame, threshold: float, id_col: str, t
             near = [distance_within(x, y, int((1 - threshold) * max(len(x), len(y)) + 1e-9)) for x, y in zip(left, right)]
             yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
-    return met.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return stored(met.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "links")
+
+
+def links_across(members: DataFrame, keys_: DataFrame, links: DataFrame, text: DataFrame, bits: int, threshold: float) -> DataFrame:
+    """``links`` and the verified pairs of the buckets ``keys_`` whose ends these links leave in different components."""
+    named = (members.join(keys_, "key", "left_semi").join(components(links), "node", "left")
+             .select("key", "node", "sim", F.coalesce("component", "node").alias("component")))
+    named = stored(named, "members")
+    open_ = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
+    pairs = stored(bucket_pairs(named.join(open_, "key", "left_semi"), bits).select("a", "b").distinct(), "pairs")
+    return links if pairs.isEmpty() else links.union(verified(text, pairs, threshold))
 
 
 def deduplicate_lines(docs: DataFrame, bits: int = 3, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text",
@@ -240,18 +289,23 @@ def deduplicate_lines(docs: DataFrame, bits: int = 3, threshold: float = 0.8, id
     blocks = blocks_for(nodes.count(), bits)
     members = nodes.select(F.explode(F.array(*keys(blocks, bits))).alias("key"), F.col("h1").alias("node"), "sim")
     hot = stored(members.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > HOT_BUCKET).select("key"), "hot")
-    if hot.isEmpty():
-        pairs = stored(bucket_pairs(members, bits), "pairs")
-        links = stored(verified(known, pairs, threshold, id_col, text_col), "links")
-    else:
-        pairs = stored(bucket_pairs(members.join(hot, "key", "left_anti"), bits), "pairs")
-        large = stored(members.join(hot, "key", "left_semi"), "members")
+    some_hot = not hot.isEmpty()
+    even = members.join(hot, "key", "left_anti") if some_hot else members
+    found = stored(bucket_pairs(even, bits).distinct(), "found")
+    pairs, large = found.select("a", "b").distinct(), found.where("key IS NOT NULL").select("key").distinct()
+    if some_hot:
+        packed = stored(members.join(hot, "key", "left_semi"), "members")
         sims = nodes.select(F.col("h1").alias("node"), "sim").dropDuplicates(["node"])
-        star = (central_pairs(large.select("key", "node")).join(sims.withColumnRenamed("node", "a").withColumnRenamed("sim", "x"), "a")
+        star = (central_pairs(packed.select("key", "node")).join(sims.withColumnRenamed("node", "a").withColumnRenamed("sim", "x"), "a")
                 .join(sims.withColumnRenamed("node", "b").withColumnRenamed("sim", "y"), "b")
                 .where(F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= bits).select("a", "b"))
-        links = stored(verified(known, stored(pairs.union(star).distinct(), "pairs"), threshold, id_col, text_col), "links")
-        rows = stored(open_members(large.select("key", "node"), components(links)), "open")
+        pairs = stored(pairs.union(star).distinct(), "pairs")
+    text = normal_lines(known, pairs, text_col)
+    links = verified(text, pairs, threshold)
+    if not large.isEmpty():
+        links = links_across(even, large, links, text, bits, threshold)
+    if some_hot:
+        rows = stored(open_members(packed.select("key", "node"), components(links)), "open")
 
         def near(x: list[bytes], y: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             x, y = (np.frombuffer(b"".join(side), np.uint64) for side in (x, y))
@@ -259,7 +313,7 @@ def deduplicate_lines(docs: DataFrame, bits: int = 3, threshold: float = 0.8, id
 
         features = sims.select("node", F.unhex(F.lpad(F.hex("sim"), 16, "0")).alias("feature"))
         more = stored(open_pairs(rows, features, near), "pairs")
-        links = links.union(stored(verified(known, more, threshold, id_col, text_col), "links"))
+        links = links.union(verified(normal_lines(known, more, text_col), more, threshold))
     groups = components(links).withColumnRenamed("node", "h1")
     linked = nodes.join(groups, "h1").groupBy("component").agg(F.min("first").alias("first"))
     kept = nodes.join(groups, "h1", "left_anti").select("first").union(linked.select("first"))

@@ -67,8 +67,9 @@ def test_op5(spark, sf, docs):
     assert {r.doc_id: (r.n_lines, r.n_removed, r.n_kept_chars, r.kept_sha256) for r in queries.op5_fuzzy_lines(spark, sf).collect()} == want
 
 
-@pytest.mark.parametrize("hot", [4096, 5])
-def test_fuzzy_lines(spark, monkeypatch, hot):
+@pytest.mark.parametrize("small, hot", [(64, 4096), (3, 4096), (64, 5), (2, 6)])
+def test_fuzzy_lines(spark, monkeypatch, small, hot):
+    monkeypatch.setattr(lines, "SMALL_BUCKET", small)
     monkeypatch.setattr(lines, "HOT_BUCKET", hot)
     rng = random.Random(11)
     base = [f"word{i}" for i in range(90)]
@@ -99,12 +100,22 @@ def test_any_number_of_blocks_finds_the_same(spark, monkeypatch):
     found = []
     for blocks in (4, 5, 6):
         members = nodes.select(F.explode(F.array(*lines.keys(blocks, 3))).alias("key"), "node", "sim")
-        found.append(sorted(map(tuple, lines.bucket_pairs(members, 3).collect())))
+        found.append(sorted(map(tuple, lines.bucket_pairs(members, 3).select("a", "b").distinct().collect())))
     want = sorted((max(a, b), min(a, b)) for a, x in rows for b, y in rows if a > b and ((x ^ y) & (2 ** 64 - 1)).bit_count() <= 3)
     assert found == [want] * 3
     assert lines.blocks_for(10, 3) == 4 and lines.blocks_for(10 ** 8, 3) == 5
 
 
+def test_simhash_counts_distinct_words():
+    rng = random.Random(5)
+    runs = [[rng.getrandbits(64) for _ in range(n)] for n in (0, 1, 3, 254, 255, 256, 1500, 0)]
+    runs = [r + r[:len(r) // 3] for r in runs]
+    flat, first = lines.np.array(sum(runs, []), lines.np.uint64), lines.np.cumsum([0, *map(len, runs)])
+    for run, got in zip(runs, lines.simhash(flat, first).tolist()):
+        words = lines.mix(lines.np.array(sorted({h >> 24 << 24 for h in run}), lines.np.uint64)).tolist()
+        assert got == sum(1 << b for b in range(64) if 2 * sum(w >> b & 1 for w in words) > len(words))
+
+
 def test_lines_odd(odd):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     got = lines.deduplicate_lines(odd).collect()
