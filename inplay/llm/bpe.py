@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -37,7 +38,7 @@ class Bpe:
     are remembered up to ``remembered``, of at most ``remembered_bytes``, bounds memory and changes no result.
     """
 
-    remembered, remembered_bytes = 500_000, 64
+    remembered, remembered_bytes = 250_000, 64
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -50,6 +51,7 @@ class Bpe:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         for token, i in self.special.items():
             self.tokens[i] = token
+        self.shown = pa.array(self.tokens, pa.string())
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pattern = regex.compile(pattern.replace(r"\s", r"\p{White_Space}"))
@@ -152,6 +154,17 @@ class Bpe:
         look = known.__getitem__ if not own else lambda w: known[w] if w in known else own[w]
         return [b"".join(map(look, words)) for words in split]
 
+    def decode(self, ids: pa.ListArray) -> pa.Array:
+        """The tokens of each row of ids, joined by one space; they are spelled out for about a million ids at once."""
+        size = pc.fill_null(pc.list_value_length(ids), 0).to_numpy()
+        ends = np.cumsum(size)
+        cuts = [0, *(np.flatnonzero(ends[1:] >> 20 != ends[:-1] >> 20) + 1).tolist(), len(ids)]
+        out = []
+        for a, b in zip(cuts, cuts[1:]):
+            offsets = pa.array(np.concatenate([[0], np.cumsum(size[a:b])]).astype(np.int32))
+            out.append(pc.binary_join(pa.ListArray.from_arrays(offsets, self.shown.take(ids.slice(a, b - a).flatten())), " "))
+        return pa.concat_arrays(out)
+
 
 _loaded: dict[str, Bpe] = {}
 
@@ -163,34 +176,33 @@ def loaded(path: str) -> Bpe:
     return _loaded[path]
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ids): token ids of every whole text. ``path`` is read by the executors."""
-    id_type = docs.schema[id_col].dataType
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decoded: str = "") -> DataFrame:
+    """(id, ids[, decoded]): token ids of every whole text, and what they decode to, if a name for it is given.
+
+    ``path`` is read by the executors.
+    """
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("ids", T.ArrayType(T.IntegerType())),
+                           *([T.StructField(decoded, T.StringType())] if decoded else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(path)
         for batch in batches:
-            for part in slices(batch, "text"):
-                texts = part.column(1).fill_null("").cast(pa.binary()).to_pylist()
-                ids = bpe.encode(texts)
+            for part in slices(batch, "text", 1 << 20):
+                ids = bpe.encode(part.column(1).fill_null("").cast(pa.binary()).to_pylist())
                 ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))) // 4
-                values = pa.array(np.frombuffer(b"".join(ids), np.int32))
                 offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(offsets, values)], ["id", "ids"])
+                lists = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(ids), np.int32)))
+                yield pa.RecordBatch.from_arrays([part.column(0), lists, *([bpe.decode(lists)] if decoded else [])], schema.names)
 
-    schema = T.StructType([T.StructField("id", id_type), T.StructField("ids", T.ArrayType(T.IntegerType()))])
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
 def decode(ids: Column, path: str) -> Column:
-    """The text that token ids stand for: their tokens, joined by one space, as the file names no decoder."""
+    """The text that token ids stand for: their tokens, joined by one space, as the file names no decoder. Null ids are none."""
 
     @F.arrow_udf("string")
     def run(column: pa.Array) -> pa.Array:
-        tokens = [t.encode() for t in loaded(path).tokens]
-        values = column.flatten().to_pylist()
-        ends = np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)).tolist()
-        return pa.array([b" ".join([tokens[i] for i in values[a:b]]) for a, b in zip([0, *ends], ends)], pa.binary()).cast(pa.string())
+        return loaded(path).decode(column)
 
     return run(ids)

@@ -47,8 +47,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path(TOKENIZER)
-    coded = bpe.encode(table(spark, sf_dir, "documents"), path).withColumn("text", bpe.decode("ids", path))
+    coded = bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), decoded="text")
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

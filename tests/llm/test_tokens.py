@@ -57,6 +57,7 @@ def test_bpe_odd(odd, library):
     coded = bpe.encode(odd, PATH).withColumn("text", bpe.decode("ids", PATH)).collect()
     source = odd.collect()
     assert len(coded) == len(source)
+    assert sorted(bpe.encode(odd, PATH, decoded="again").select("again").toPandas()["again"]) == sorted(r.text for r in coded)
     expected = sorted((library.encode(r.text or "", add_special_tokens=False).ids for r in source))
     assert sorted(list(r.ids) for r in coded) == expected
     assert sorted(r.text for r in coded) == sorted(library.decode(i, skip_special_tokens=False) for i in expected)
