@@ -7,7 +7,7 @@ no such pair. Candidates whose Hamming distance is small enough are linked if th
 normalised lines is at least ``threshold``. Of the lines of a connected group the first, by id and place, stays.
 
 A bucket's nodes are compared by vectorised Hamming distances. In buckets over ``SMALL_BUCKET`` nodes each is linked
-to the least near one first; of the other near pairs, only those between components that this leaves are verified. In
+to a smaller near one first; of the other near pairs, only those between components that this leaves are verified. In
 buckets over ``HOT_BUCKET`` nodes each is first compared with the most central one, and then, in blocks, with nodes of
 other components, as in ``minhash``.
 
@@ -176,9 +176,10 @@ def keys(blocks: int, bits: int) -> list:
 def bucket_pairs(members: DataFrame, bits: int) -> DataFrame:
     """(a, b, key): nodes of (key, node, sim[, component]) that share a key and differ in ``bits`` bits at most; a > b.
 
-    A bucket of up to ``SMALL_BUCKET`` nodes gives all pairs, under no key. From a larger one each node comes with the
-    least node near it, or, if it is the least itself, with the next: so many pairs as nodes, which name every node
-    that has a near one. With components, all pairs of different components are given instead.
+    A bucket of up to ``SMALL_BUCKET`` nodes gives all pairs, under no key. From a larger one each node comes with one of
+    the smaller nodes near it, drawn by a hash so that no node gets very many, or else with the next larger one: so many
+    pairs as nodes, which name every node that has a near one. With components, all pairs of different components are
+    given instead.
     """
     split = "component" in members.columns
 
@@ -193,7 +194,7 @@ def bucket_pairs(members: DataFrame, bits: int) -> DataFrame:
             size = np.diff(begin, append=len(key))
             large = np.repeat((size > SMALL_BUCKET) & (not split), size)
             place = np.arange(len(key))
-            least, after = place.copy(), place.copy()
+            drawn, after, draw = place.copy(), place.copy(), np.full(len(key), np.iinfo(np.uint64).max)
             i, j, step = [], [], 1
             at = np.flatnonzero(key[1:] == key[:-1])
             while len(at):
@@ -204,8 +205,9 @@ def bucket_pairs(members: DataFrame, bits: int) -> DataFrame:
                 i.append(some + step)
                 j.append(some)
                 near = near[large[near]]
-                # Steps grow, so the last smaller node found is the least and the first larger one the next.
-                least[near + step] = near
+                lot = mix(node[near].view(np.uint64) + mix(node[near + step].view(np.uint64)))
+                won = lot < draw[near + step]
+                draw[near[won] + step], drawn[near[won] + step] = lot[won], near[won]
                 near = near[after[near] == near]
                 after[near] = near + step
                 step += 1
@@ -215,9 +217,9 @@ def bucket_pairs(members: DataFrame, bits: int) -> DataFrame:
             last = np.searchsorted(np.flip(key) != key[-1], True) if len(key) else 0
             left = [x[len(key) - last:] for x in columns]
             # Rows of small buckets have neither.
-            second, alone = np.flatnonzero(least < place), np.flatnonzero((least == place) & (after > place))
+            second, alone = np.flatnonzero(drawn < place), np.flatnonzero((drawn == place) & (after > place))
             i += [second, after[alone]]
-            j += [least[second], alone]
+            j += [drawn[second], alone]
             i, j = np.concatenate(i), np.concatenate(j)
             yield pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[j]), pa.array(key[i], mask=~large[i])], ["a", "b", "key"])
 
