@@ -30,6 +30,8 @@ SCORE_A = ("least(1e0, greatest(0e0, (launch_speed - 15e0) / 130e0 + CASE bb_typ
            "WHEN 'popup' THEN -3e-1 ELSE 0e0 END))")
 SCORE_B = (f"least(1e0, greatest(0e0, {SCORE_A} + (bat_speed - 70e0) / 400e0))")
 NUMERIC_B = CONTACT_NUMERIC + SWING_NUMERIC
+# Where the curve of a fitted model is read.
+ROC_THRESHOLDS = [k / 10 for k in range(1, 10)]
 
 
 def register(fn: Query) -> Query:
@@ -526,27 +528,20 @@ def ab_metric_diff(spark, sf):
 
 @register
 def fit_baseline(spark, sf):
-    """Each feature of the fitted baseline, and whether the penalised loss is flat in it at the fit."""
-    ex = _extract(spark, sf)
-    fitted = experiments.baseline_experiment(ex)
-    train, _ = split.time_split(ex)
-    prepared, regression = fitted.model.stages
-    scored = experiments.score(fitted.model, train)
-    error = F.col("p") - F.col(LABEL_COLUMN).cast("double")
-    slopes = {"intercept": F.avg(error)}
-    for (name, x), w in zip(prepared.encoded().items(), regression.coefficients):
-        slopes[name] = F.avg(error * x) + F.lit(float(w) / prepared.n_rows)
-    wide = scored.agg(*[s.alias(n) for n, s in slopes.items()])
-    entries = F.array(*[F.struct(F.lit(n).alias("feature"), (F.abs(F.col(n)) < 1e-5).alias("optimal")) for n in slopes])
-    return wide.select(F.explode(entries).alias("e")).select("e.*")
+    """Intercept and coefficients of the fitted baseline."""
+    model = experiments.baseline_experiment(_extract(spark, sf)).model
+    fitted = coefficients(model).select("feature", "coefficient")
+    intercept = spark.range(1).select(F.lit("intercept").alias("feature"), F.lit(float(model.stages[-1].intercept)).alias("coefficient"))
+    return rounded(fitted.union(intercept), 4)
 
 
 @register
 def score_test(spark, sf):
-    """Test rows with the probability of the fitted baseline, through the fitted stages."""
+    """Mean probability of the fitted baseline over the test rows, through the fitted stages, by ball type and label."""
     fitted = experiments.baseline_experiment(_extract(spark, sf))
     _, test = split.time_split(_extract(spark, sf))
-    return score_by_transform(fitted.model, test).select(KEY_COLUMN, DATE_COLUMN, LABEL_COLUMN, "p")
+    scored = score_by_transform(fitted.model, test)
+    return rounded(scored.groupBy("bb_type", LABEL_COLUMN).agg(F.count("*").alias("observations"), F.avg("p").alias("mean_p")), 4)
 
 
 @register
@@ -559,20 +554,31 @@ def tracking_experiment(spark, sf):
     return experiments.rounded(experiments.tracking_experiment(_extract(spark, sf)).metrics)
 
 
+def _shown(fitted: DataFrame) -> DataFrame:
+    """Coefficients as reports print them; solvers agree to about six digits."""
+    return fitted.withColumns({"coefficient": F.round("coefficient", 4), "odds_ratio": F.round("odds_ratio", 3)})
+
+
 @register
 def fitted_coefficients(spark, sf):
-    return coefficients(experiments.baseline_experiment(_extract(spark, sf)).model).orderBy(F.desc("coefficient"))
+    fitted = coefficients(experiments.baseline_experiment(_extract(spark, sf)).model)
+    return _shown(fitted.orderBy(F.desc("coefficient")))
 
 
 @register
 def fitted_coefficient_impact(spark, sf):
-    return coefficient_impact(experiments.baseline_experiment(_extract(spark, sf)).model).orderBy("coefficient")
+    fitted = coefficient_impact(experiments.baseline_experiment(_extract(spark, sf)).model)
+    return _shown(fitted.orderBy("coefficient"))
 
 
 @register
 def fitted_roc_curve(spark, sf):
+    """The curve of the fitted baseline at fixed thresholds: what scores of at least so much reach."""
     scored = experiments.baseline_experiment(_extract(spark, sf)).scored
-    return metrics.roc_curve(scored, "p", LABEL_COLUMN, drop_intermediate=True)
+    points = metrics.roc_curve(scored, "p", LABEL_COLUMN)
+    reached = F.filter(F.array(*map(F.lit, ROC_THRESHOLDS)), lambda t: F.col("threshold") >= t)
+    at = points.select(F.explode(reached).alias("at_least"), "fpr", "tpr")
+    return rounded(at.groupBy("at_least").agg(F.max("fpr").alias("fpr"), F.max("tpr").alias("tpr")))
 
 
 @register
@@ -583,4 +589,4 @@ def fitted_confusion_matrix(spark, sf):
 
 @register
 def ab_comparison(spark, sf):
-    return experiments.compare(_extract(spark, sf)).table
+    return experiments.rounded(experiments.compare(_extract(spark, sf)).table)

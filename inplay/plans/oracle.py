@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from inplay.operators.metrics import DIFFERENCE, METRICS, MODEL_A, MODEL_B
 from inplay.plans.catalog import (
-    CATEGORICAL, CONTACT_NUMERIC, LOAD_RANGE, NUMERIC_B, SAMPLE_DRAW, SCAN_RANGE, SCORE_A, SCORE_B, STORED_BEFORE,
+    CATEGORICAL, CONTACT_NUMERIC, LOAD_RANGE, NUMERIC_B, ROC_THRESHOLDS, SAMPLE_DRAW, SCAN_RANGE, SCORE_A, SCORE_B, STORED_BEFORE,
 )
 from inplay.schema import (
     BASELINE_WINDOW, BALL_TYPES_DISPLAY_ORDER, CONTACT_BOUNDS, EVENT_COLUMNS, EXTRACT_COLUMNS, FEATURE_DISPLAY_NAMES,
@@ -20,8 +20,8 @@ _MEASURED = "launch_speed IS NOT NULL AND launch_angle IS NOT NULL"
 _COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in MODEL_B_FEATURES)
 
 
-def _with(body: str, *ctes: str) -> str:
-    return "WITH " + ",\n".join([sql_tables(), _EXTRACT, _CLEAN, *ctes]) + "\n" + body
+def _with(body: str, *ctes: str, recursive: bool = False) -> str:
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join([sql_tables(), _EXTRACT, _CLEAN, *ctes]) + "\n" + body
 
 
 _EXTRACT = (f"modeling_extract AS (SELECT {', '.join(EXTRACT_COLUMNS)} FROM batted_ball_events "
@@ -110,6 +110,58 @@ def _mode(column: str) -> str:
             f"GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)")
 
 
+# ---- fitted models: the penalised loss is minimised by gradient steps with momentum over all training rows
+
+_STEPS, _RATE, _MOMENTUM = 1000, "(1e0 / 15e-1)", "95e-2"
+
+
+def _names(numeric: list[str]) -> list[str]:
+    """Feature names in the order of the weights w1, w2, ..."""
+    return [f"numeric__{c}" for c in numeric] + [
+        f"categorical__{c}_{v}" for c in CATEGORICAL for v in _LEVELS[c] if v != REFERENCE_LEVELS[c]]
+
+
+def _model(name: str, numeric: list[str], complete: bool = False) -> list[str]:
+    """Tables ``weights_{name}``, of one row, and ``scored_{name}``: the test rows with the probability ``p``."""
+    rows = f"(SELECT * FROM tagged WHERE {_COMPLETE})" if complete else "tagged"
+    middle = ", ".join(f"quantile_cont({c}, 0.5) AS m_{c}" for c in numeric)
+    spread = ", ".join(f"avg(coalesce({c}, m_{c})) AS a_{c}, stddev_pop(coalesce({c}, m_{c})) AS s_{c}" for c in numeric)
+    inputs = [f"(coalesce({c}, m_{c}) - a_{c}) / s_{c}" for c in numeric] + [
+        f"CAST(coalesce({c}, {_mode(c)}) = '{v}' AS DOUBLE)" for c in CATEGORICAL for v in _LEVELS[c] if v != REFERENCE_LEVELS[c]]
+    places = range(len(inputs) + 1)
+    margin = " + ".join(["w0"] + [f"w{i} * x{i}" for i in places[1:]])
+    slope = ["avg(e) AS g0"] + [f"avg(e * x{i}) + any_value(w{i}) / count(*) AS g{i}" for i in places[1:]]
+    move = [f"({_MOMENTUM} * v{i} - {_RATE} * g{i})" for i in places]
+    return [
+        f"middle_{name} AS (SELECT {middle} FROM {rows} WHERE split = 'train')",
+        f"spread_{name} AS (SELECT {spread} FROM {rows} CROSS JOIN middle_{name} WHERE split = 'train')",
+        f"inputs_{name} AS MATERIALIZED (SELECT batted_ball_id, bb_type, is_hit, split, CAST(is_hit AS DOUBLE) AS y, "
+        + ", ".join(f"{x} AS x{i}" for i, x in enumerate(inputs, 1))
+        + f" FROM {rows} CROSS JOIN middle_{name} CROSS JOIN spread_{name})",
+        f"train_{name} AS MATERIALIZED (SELECT * FROM inputs_{name} WHERE split = 'train')",
+        f"steps_{name} AS (SELECT 0 AS step, " + ", ".join(f"0e0 AS w{i}, 0e0 AS v{i}" for i in places)
+        + " UNION ALL SELECT step + 1, " + ", ".join(f"w{i} + {move[i]}, {move[i]}" for i in places)
+        + " FROM (SELECT any_value(step) AS step, " + ", ".join(f"any_value(w{i}) AS w{i}, any_value(v{i}) AS v{i}" for i in places)
+        + ", " + ", ".join(slope) + f" FROM (SELECT *, 1e0 / (1e0 + exp(-({margin}))) - y AS e FROM train_{name} "
+        f"CROSS JOIN steps_{name} WHERE step < {_STEPS})) WHERE step IS NOT NULL)",
+        f"weights_{name} AS (SELECT * FROM steps_{name} WHERE step = {_STEPS})",
+        f"scored_{name} AS (SELECT batted_ball_id, bb_type, is_hit, 'only' AS model, 1e0 / (1e0 + exp(-({margin}))) AS p "
+        f"FROM inputs_{name} CROSS JOIN weights_{name} WHERE split = 'test')",
+    ]
+
+
+def _weights(name: str, numeric: list[str]) -> str:
+    return "weights AS (" + " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, w{i} AS w FROM weights_{name}" for i, f in enumerate(_names(numeric), 1)) + ")"
+
+
+_BASE_MODEL = _model("base", CONTACT_NUMERIC)
+_BASE_WEIGHTS = _weights("base", CONTACT_NUMERIC)
+_TRACK_MODEL = _model("track", NUMERIC_B)
+_BOTH_MODELS = [*_model("a", CONTACT_NUMERIC, complete=True), *_model("b", NUMERIC_B, complete=True),
+                f"both_models AS (SELECT is_hit, '{MODEL_A}' AS model, p FROM scored_a UNION ALL "
+                f"SELECT is_hit, '{MODEL_B}', p FROM scored_b)"]
+
 # ---- metrics
 
 _ONE = f"one AS (SELECT bb_type, is_hit, 'only' AS model, {SCORE_A} AS p FROM modeling_extract)"
@@ -326,7 +378,33 @@ def oracle_sql() -> dict[str, str]:
                           track, _SCORED, _TWO, _curve("two"), _sums(False), _DIFFERENCE),
         "ab_metric_diff": _with(_LONG, track, _SCORED, _TWO, _curve("two"), _sums(False)),
         "fit_baseline": _with(
-            "SELECT feature, true AS optimal FROM features WHERE feature NOT IN ("
-            + ", ".join(f"'numeric__{c}'" for c in NUMERIC_B if c not in CONTACT_NUMERIC)
-            + ") UNION ALL SELECT 'intercept', true", base, _FEATURES),
+            "SELECT feature, round(w, 4) AS coefficient FROM weights UNION ALL SELECT 'intercept', round(w0, 4) FROM weights_base",
+            base, *_BASE_MODEL, _BASE_WEIGHTS, recursive=True),
+        "score_test": _with(
+            "SELECT bb_type, is_hit, count(*) AS observations, round(avg(p), 4) AS mean_p FROM scored_base GROUP BY 1, 2",
+            base, *_BASE_MODEL, recursive=True),
+        "baseline_experiment": _with(
+            f"SELECT {_metric_columns('round_even({c}, 3)')} FROM measured",
+            base, *_BASE_MODEL, _curve("scored_base"), _sums(True), recursive=True),
+        "tracking_experiment": _with(
+            f"SELECT {_metric_columns('round_even({c}, 3)')} FROM measured",
+            track, *_TRACK_MODEL, _curve("scored_track"), _sums(True), recursive=True),
+        "fitted_coefficients": _with(
+            "SELECT feature, round(w, 4) AS coefficient, round(exp(w), 3) AS odds_ratio FROM weights",
+            base, *_BASE_MODEL, _BASE_WEIGHTS, recursive=True),
+        "fitted_coefficient_impact": _with(
+            f"SELECT {_NAMES} AS predictor, round(w, 4) AS coefficient, round(exp(w), 3) AS odds_ratio, "
+            "CASE WHEN w > 0 THEN 'positive' ELSE 'negative' END AS impact FROM weights",
+            base, *_BASE_MODEL, _BASE_WEIGHTS, recursive=True),
+        "fitted_roc_curve": _with(
+            "SELECT t AS at_least, round(CAST(count(*) FILTER (WHERE NOT is_hit AND p >= t) AS DOUBLE) / count(*) FILTER (WHERE NOT is_hit), 8) AS fpr, "
+            "round(CAST(count(*) FILTER (WHERE is_hit AND p >= t) AS DOUBLE) / count(*) FILTER (WHERE is_hit), 8) AS tpr "
+            "FROM scored_base CROSS JOIN (SELECT unnest([" + ", ".join(f"CAST({t} AS DOUBLE)" for t in ROC_THRESHOLDS) + "]) AS t) GROUP BY 1",
+            base, *_BASE_MODEL, recursive=True),
+        "fitted_confusion_matrix": _with(
+            "SELECT CAST(is_hit AS INT) AS actual, CAST(p > 5e-1 AS INT) AS predicted, count(*) AS observations "
+            "FROM scored_track GROUP BY 1, 2", track, *_TRACK_MODEL, recursive=True),
+        "ab_comparison": _with(
+            f"SELECT model, {_metric_columns('round_even({c}, 3)')} FROM difference",
+            track, *_BOTH_MODELS, _curve("both_models"), _sums(False), _DIFFERENCE, recursive=True),
     }
