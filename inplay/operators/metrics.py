@@ -33,6 +33,8 @@ MODEL_A, MODEL_B, DIFFERENCE = "Model A", "Model B", "Metric Difference: B - A"
 
 _FINE_BITS = 28
 _COARSE_BITS = 14
+# No positive double has a logarithm beyond it.
+_LOG_SPAN = 745.0
 
 
 def score_counts(scored: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
@@ -45,12 +47,18 @@ def score_counts(scored: DataFrame, score: str, label: str, by: Sequence[str] =
 def _cells(top: float, bottom: float) -> list[Column]:
     """Coarse and fine cells of a score, ascending as the score falls.
 
-    A coarse cell has at most 2^14 fine ones, and there are at most 2^14 coarse cells, so no group of
-    cell totals outgrows one task. A score outside the given span falls in an outer cell.
+    Half of the range of cells is linear in the score, half in its logarithm near either end, so scores that crowd
+    at an end are spread too. A coarse cell has at most 2^14 fine ones, and there are at most 2^14 coarse cells, so
+    no group of cell totals outgrows one task. A score outside the given span falls in an outer cell.
     """
-    share = (F.lit(top) - F.col("score")) / F.lit(top - bottom)
-    inside = F.greatest(F.lit(0.0), F.least(F.lit(1.0), share))
-    fine = F.floor(inside * (2**_FINE_BITS - 1)).cast("bigint")
+    width = F.lit(top - bottom)
+    above, below = (F.col("score") - F.lit(bottom)) / width, (F.lit(top) - F.col("score")) / width
+    linear = F.greatest(F.lit(0.0), F.least(F.lit(1.0), below))
+    tail = (F.when(above <= 0, _LOG_SPAN).when(below <= 0, -_LOG_SPAN)
+            .when(above < 0.5, -F.log(2 * above)).otherwise(F.log(2 * below)))
+    bounded = F.greatest(F.lit(-_LOG_SPAN), F.least(F.lit(_LOG_SPAN), tail))
+    share = linear / 2 + (bounded + _LOG_SPAN) / (4 * _LOG_SPAN)
+    fine = F.floor(share * (2**_FINE_BITS - 1)).cast("bigint")
     return [F.shiftright(fine, _COARSE_BITS), fine]
 
 

@@ -2,6 +2,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from inplay.operators import metrics
 
@@ -102,3 +103,20 @@ def test_difference_row(spark):
     assert got == {"Model A": (0.25, 1.0), "Model B": (0.5, 0.75), metrics.DIFFERENCE: (0.25, -0.25)}
     long = metrics.metric_difference(metrics.long_metrics(df)).collect()
     assert {r["metric"]: r["difference"] for r in long} == {"Accuracy": 0.25, "F1": -0.25}
+
+
+def test_saturated_scores_are_spread_over_cells_in_order(spark):
+    low = spark.range(10_000).select((F.col("id") * 1e-13 + 1e-300).alias("score"))
+    high = low.select((1 - F.col("score") * 1000).alias("score"))
+    middle = spark.range(1_000).select((F.col("id") / 1000).alias("score"))
+    edges = spark.createDataFrame([(x,) for x in (-3.0, 0.0, 5e-324, 0.5, 1.0, 7.0)], "score double")
+    coarse, fine = metrics._cells(1.0, 0.0)
+    for part in (low, high):
+        assert part.select(fine).distinct().count() > 1_000
+    rows = low.union(high).union(middle).union(edges).select("score", coarse.alias("coarse"), fine.alias("fine")).collect()
+    rows.sort(key=lambda r: -r["score"])
+    for name in ("coarse", "fine"):
+        cells = [r[name] for r in rows]
+        assert cells == sorted(cells)
+    assert 0 <= rows[0]["coarse"] and rows[-1]["coarse"] < 2**14
+    assert max(r["fine"] for r in rows) < 2**28
