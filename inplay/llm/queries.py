@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from inplay.llm import bpe, fingerprints, html, language, licenses, lines, minhash, packing, quality, substrings
-from inplay.llm.common import table
+from inplay.llm import bpe, bytecnn, fingerprints, html, language, licenses, lines, minhash, packing, quality, spelling, substrings, trie
+from inplay.llm.common import stored, table
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -64,6 +64,20 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", F.col("_language.lang").alias("lang_pred"), "_language.score", "_language.rejected")
 
 
+def op11_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytecnn.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(table(spark, sf_dir, "documents"), least_chars=7, least_count=2, typos=31))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    convs = conversations.select("conv_id").where("conv_id IS NOT NULL")
+    return trie.prefix_trie(trie.rebuilt(stored(trie.ordered_turns(conversations), "turns"), convs), convs)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
