@@ -1,24 +1,26 @@
 """Fuzzy line deduplication: SimHash of normalised lines, pigeonhole blocks, edit similarity, one occurrence kept.
 
-A line is normalised by bytes: ASCII letters become small, digits become 0, other ASCII separates words. Lines with the
-same words are one node. The 64 bits of a node's SimHash are cut into blocks; two values that differ in at most
-``bits`` bits agree in all but ``bits`` blocks, so nodes are joined on every choice of so many blocks, which misses
-no such pair. Candidates whose Hamming distance is small enough are linked if the edit similarity of their
-normalised lines is at least ``threshold``. Of the lines of a connected group the first, by id and place, stays.
-
-A bucket's nodes are compared by vectorised Hamming distances. In buckets over ``SMALL_BUCKET`` nodes each is linked
-to a smaller near one first; of the other near pairs, only those between components that this leaves are verified. In
-buckets over ``HOT_BUCKET`` nodes each is first compared with the most central one, and then, in blocks, with nodes of
-other components, as in ``minhash``.
-
-Defined cases: lines without words stay. A null text stays null. Rows without an id stay as they are and take no
-part. Rows that share an id are one document: a place that one keeps, all keep. An empty table gives an empty result.
+Lines are the same node if they are equal but for the case of A-Z and white space. For its SimHash a line is normalised
+further: digits become 0, other ASCII than letters and digits separates words. Features are pairs of neighbouring words, or
+runs of three bytes in lines of few words. They are dealt into blocks, more in longer lines, and each block is a SimHash
+of 32 bits of its own features: an edit touches the blocks of few features, so of two near lines a block is the same if
+there are fewer edits than blocks, and often one whose features differ little. Lines near the limit between two numbers
+of blocks are cut in both ways. Blocks of very few features are no keys unless the line has none else.
+
+Nodes that share a block are compared with the bucket's first; then, only in buckets that still hold several components,
+nodes of different components, block by block, as in ``minhash``. A pair is linked if the edit similarity of its lines,
+1 - distance / longer length in code points, is at least ``threshold``. Of the lines of a connected group the first, by
+id and place, stays.
+
+Defined cases: lines without letters and digits stay. A null text stays null. Rows without an id stay as they are and
+take no part. Rows that share an id are one document: a place that one keeps, all keep. Lines of any length are read
+whole. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from itertools import combinations
+from difflib import SequenceMatcher
 
 import numpy as np
 import pyarrow as pa
@@ -26,21 +28,29 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from inplay.llm.common import Words, carried, mix, slices, stored, text_bytes
 from inplay.llm.components import components
-from inplay.llm.minhash import central_pairs, open_members, open_pairs
-
-BITS = 64
-#: Nodes of a bucket all of whose near pairs are verified at once; in a larger one, those that others leave open.
-SMALL_BUCKET = 64
-#: Nodes that one task compares; larger buckets are cut into blocks.
-HOT_BUCKET = 4096
+from inplay.llm.minhash import open_members, open_pairs
+
+#: Words from which on a line takes the next number of blocks; the numbers are powers of two from ``BLOCKS`` on.
+LEVELS = (11, 32, 80)
+BLOCKS = 4
+#: Lines of at most so many words are cut by their bytes; those around this number both ways.
+FEW_WORDS = 8
+#: Features that a block has at least, of words and of bytes.
+LEAST = (2, 2)
+#: How far two near lines differ in their numbers of words, for lines at a limit.
+_SLACK = 0.18
 #: Bits of the filter that picks lines to be verified. It is of fixed size; what it lets through too much does no harm.
 FILTER_BITS = 1 << 25
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+#: Bytes of a line as nodes take it: small letters, control characters as spaces.
+_FOLD = np.array([10 if i == 10 else 32 if i < 32 or i == 127 else ord(chr(i).lower()) if i < 128 else i for i in range(256)], np.uint8)
+#: Bytes of a line as its SimHash takes it.
 _NORMAL = np.array([i if i >= 128 else ord(chr(i).lower()) if chr(i).isalpha() else 48 if chr(i).isdigit() else 10 if i == 10 else 32
                     for i in range(256)], np.uint8)
 
 
-def split_lines(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """Normalised lines of all texts as one array, with their rows and their places in the text."""
+def split_lines(column: pa.Array, table: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Lines of all texts as one array, their bytes replaced by ``table``, with their rows and their places in the text."""
     data, offsets = text_bytes(column)
     breaks = np.flatnonzero(data == 10)
     row = np.searchsorted(offsets, breaks, side="right") - 1
@@ -53,45 +63,131 @@ def split_lines(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     # Breaks stay in the data as white space at a line's begin.
     begins = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
     begins[first] = offsets[:-1]
-    raw = pa.py_buffer(_NORMAL[data])
+    raw = pa.py_buffer(table[data])
     cut = np.concatenate([begins, offsets[-1:]]).astype(np.int32)
     return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(cut), raw]), owner, np.arange(len(owner)) - first[owner]
 
 
-def simhash(hashed: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """For each run of words the bits that more than half of its distinct words have; words are told apart by 40 bits.
-
-    Counting words once keeps the few words that every long line repeats from deciding.
-    """
-    out = np.zeros(len(first) - 1, np.uint64)
-    for a in range(0, len(out), 1 << 16):
-        cut = first[a:a + (1 << 16) + 1]
-        key = np.repeat(np.arange(len(cut) - 1, dtype=np.uint64), np.diff(cut)) << np.uint64(40) | hashed[cut[0]:cut[-1]] >> np.uint64(24)
-        if not len(key):
-            continue
-        key.sort()
-        key = key[np.concatenate([[True], key[1:] != key[:-1]])]
-        line = (key >> np.uint64(40)).astype(np.int64)
-        begin = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
-        size = np.diff(begin, append=len(key))
-        # Ones are counted in bytes, eight of them in an integer, so at most 255 words go into one sum.
-        parts = -(-size // 255)
-        owner = np.repeat(np.arange(len(begin)), parts)
-        at = begin[owner] + 255 * (np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts))
-        ones = np.zeros((len(begin), BITS), np.int32)
-        for c in range(0, len(at), 4096):
-            low, high = at[c], at[c + 4096] if c + 4096 < len(at) else len(key)
-            bits = np.unpackbits(mix(key[low:high] << np.uint64(24)).view(np.uint8)).view(np.uint64).reshape(-1, 8)
-            sums = np.add.reduceat(bits, at[c:c + 4096] - low, axis=0).view(np.uint8)
-            own = owner[c:c + 4096]
-            fresh = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-            ones[own[fresh]] += sums if len(fresh) == len(own) else np.add.reduceat(sums, fresh, axis=0, dtype=np.int32)
-        out[a + line[begin]] = np.packbits(2 * ones > size[:, None], axis=1).view(np.uint64)[:, 0]
-    return out
+def majority(group: np.ndarray, feature: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The groups, how many distinct features each has, and the bits that more than half of these have. Both inputs have 32 bits."""
+    key = np.sort(group.astype(np.uint64) << np.uint64(32) | feature & np.uint64(0xFFFFFFFF))
+    key = key[np.concatenate([[True], key[1:] != key[:-1]])[:len(key)]]
+    own = key >> np.uint64(32)
+    begin = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])[:len(key)])
+    size = np.diff(begin, append=len(key))
+    # Ones are counted in bytes, eight of them in an integer, so at most 255 features go into one sum.
+    parts = -(-size // 255)
+    owner = np.repeat(np.arange(len(begin)), parts)
+    at = begin[owner] + 255 * (np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts))
+    out = np.zeros(len(begin), np.uint64)
+    low32 = (key & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    step = 1 << 14
+    cuts = [*np.searchsorted(owner, np.arange(0, len(begin), step)).tolist(), len(owner)]
+    for k, (c, d) in enumerate(zip(cuts, cuts[1:])):
+        low, high = at[c], at[d] if d < len(at) else len(key)
+        bits = np.unpackbits(low32[low:high].view(np.uint8)).view(np.uint64).reshape(-1, 4)
+        sums = np.add.reduceat(bits, at[c:d] - low, axis=0).view(np.uint8)
+        mine = owner[c:d] - k * step
+        fresh = np.flatnonzero(np.concatenate([[True], mine[1:] != mine[:-1]]))
+        ones = sums.astype(np.int32) if len(fresh) == len(mine) else np.add.reduceat(sums, fresh, axis=0, dtype=np.int32)
+        half = size[k * step:(k + 1) * step, None]
+        out[k * step:(k + 1) * step] = np.packbits(2 * ones > half, axis=1).view(np.uint32)[:, 0]
+    return own[begin], size, out
+
+
+def _cut(line: np.ndarray, spread: np.ndarray, feature: np.ndarray, level: np.ndarray, kind: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Blocks as keys, with their lines, and each line's number of distinct features. ``spread`` deals a feature of a line to one of the blocks that the line's ``level`` has."""
+    count = np.uint64(BLOCKS) << level.astype(np.uint64)
+    block = (spread >> np.uint64(32)) % count[line]
+    # 20 bits of line, 6 of block; lines come in runs of at most so many.
+    group, size, value = majority(line.astype(np.uint64) << np.uint64(6) | block, feature)
+    owner, block = (group >> np.uint64(6)).astype(np.int64), group & np.uint64(63)
+    most = np.zeros(len(level), np.int64)
+    np.maximum.at(most, owner, size)
+    ok = size >= np.minimum(least, most[owner])
+    key = value | block << np.uint64(32) | level[owner].astype(np.uint64) << np.uint64(40) | np.uint64(kind) << np.uint64(48)
+    return key[ok], owner[ok], np.bincount(owner, size, len(level)).astype(np.int64)
+
+
+def block_keys(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of all lines with the lines they belong to, from the normalised lines' words."""
+    hashed, first = words.hashes(), words.first
+    keys, owners = [], []
+    for a in range(0, len(first) - 1, 1 << 18):
+        cut = first[a:a + (1 << 18) + 1]
+        for key, owner in _line_keys(hashed[cut[0]:cut[-1]], cut - cut[0], words, cut[0]):
+            keys.append(key)
+            owners.append(owner + a)
+    if not keys:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    key, owner = np.concatenate(keys), np.concatenate(owners)
+    order = np.argsort(owner, kind="stable")
+    return key[order].view(np.int64), owner[order]
+
+
+def _line_keys(hashed: np.ndarray, first: np.ndarray, words: Words, offset: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    count = np.diff(first)
+    if not len(hashed):
+        return
+    # Pairs of neighbours, the first and the last word with the line's edge; dealt by the word in front.
+    line = np.repeat(np.arange(len(count)), count)
+    before = np.concatenate([[0], hashed[:-1]]).astype(np.uint64)
+    before[first[:-1][count > 0]] = 0
+    full = np.flatnonzero(count > 0)
+    last = hashed[first[1:][full] - 1]
+    spread = mix(np.concatenate([before, last]) + _ODD)
+    feature = mix(np.concatenate([before * _ODD + hashed, last * _ODD]))
+    line = np.concatenate([line, full])
+    many = count >= FEW_WORDS
+    distinct = np.zeros(len(count), np.int64)
+    for level, chosen in _levels(count, many):
+        some = chosen[line]
+        key, owner, found = _cut(line[some], spread[some], feature[some], np.full(len(count), level), 1, LEAST[0])
+        distinct = np.maximum(distinct, found)
+        yield key, owner
+    # Lines that repeat few words have too many blocks for what they hold; they take the blocks of a shorter line as well.
+    for level, chosen in _levels(distinct, many & (2 * distinct < count)):
+        some = chosen[line]
+        yield _cut(line[some], spread[some], feature[some], np.full(len(count), level), 1, LEAST[0])[:2]
+    few = np.flatnonzero((count > 0) & (count <= FEW_WORDS + 1))
+    if not len(few):
+        return
+    # The words of such a line with one space between, and one at either end.
+    at = np.repeat(offset + first[few], count[few]) + np.arange(count[few].sum()) - np.repeat(np.cumsum(count[few]) - count[few], count[few])
+    size = words.ends[at] - words.starts[at]
+    text = np.full(int(size.sum() + len(size) + len(few)), 32, np.uint8)
+    line_of = np.repeat(np.arange(len(few)), count[few])
+    place = np.cumsum(size + 1) - size + line_of
+    text[np.repeat(place - (np.cumsum(size) - size), size) + np.arange(size.sum())] = words.data[np.repeat(words.starts[at] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+    length = np.bincount(line_of, size + 1, len(few)).astype(np.int64) + 1
+    line = np.repeat(few, length)
+    wide = text.astype(np.uint64)
+    gram = wide[:-2] | wide[1:-1] << np.uint64(8) | wide[2:] << np.uint64(16)
+    inside = line[:-2] == line[2:]
+    line, gram = line[:-2][inside], gram[inside]
+    grams = np.bincount(line, minlength=len(count))
+    # Short lines have few blocks; they are dealt in four ways instead.
+    short = grams < 32
+    for seed, chosen in ((0, np.ones(len(count), bool)), (1, short), (2, short), (3, short)):
+        some = chosen[line]
+        if some.any():
+            yield _cut(line[some], mix(gram[some] ^ mix(np.full(1, seed, np.uint64))), mix(gram[some] * _ODD + np.uint64(7)), np.where(short, 0, 1), 2 + seed, LEAST[1])[:2]
+
+
+def _levels(count: np.ndarray, wanted: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each number of blocks that lines of so many words, or of nearly so many, take, and which of the ``wanted`` lines do."""
+    near = [np.searchsorted(LEVELS, n, side="right") for n in (count, count * (1 + _SLACK), count / (1 + _SLACK))]
+    for level in range(len(LEVELS) + 1):
+        chosen = wanted & np.logical_or.reduce([n == level for n in near])
+        if chosen.any():
+            yield level, chosen
 
 
 def distance_within(a: str, b: str, most: int) -> bool:
-    """Whether the edit distance is at most ``most``; columns of the table are bits of an integer."""
+    """Whether the edit distance is at most ``most``; columns of the table are bits of an integer.
+
+    Of long lines, it is enough if keeping what their words have in common and replacing the rest takes so few edits.
+    """
     if abs(len(a) - len(b)) > most:
         return False
     at, end = 0, min(len(a), len(b))
@@ -103,6 +199,8 @@ def distance_within(a: str, b: str, most: int) -> bool:
     a, b = a[at:len(a) - back], b[at:len(b) - back]
     if max(len(a), len(b)) <= most:
         return True
+    if len(a) > 400 and _word_edits(a, b) <= most:
+        return True
     where: dict[str, int] = {}
     for i, c in enumerate(a):
         where[c] = where.get(c, 0) | 1 << i
@@ -119,28 +217,37 @@ def distance_within(a: str, b: str, most: int) -> bool:
     return score <= most
 
 
+def _word_edits(a: str, b: str) -> int:
+    """Edits that turn ``a`` into ``b`` if whole words are kept or replaced: no fewer than the edit distance."""
+    x, y = a.split(" "), b.split(" ")
+    size = lambda words: sum(map(len, words)) + len(words)
+    return sum(max(size(x[i:j]), size(y[k:m])) for kind, i, j, k, m in SequenceMatcher(None, x, y, autojunk=False).get_opcodes() if kind != "equal")
+
+
 def line_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, line, h1, h2, sim) of every line with words."""
+    """(id, line, h1, h2, keys) of every line with words."""
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("line", T.IntegerType()),
-                           *(T.StructField(n, T.LongType()) for n in ("h1", "h2", "sim"))])
+                           T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", 2 << 20):
-                lines, row, place = split_lines(part.column(1))
-                words = Words(lines)
-                h1, h2, hashed = line_hashes(words)
-                full = np.flatnonzero(np.diff(words.first) > 0)
+                lines, row, place = split_lines(part.column(1), _NORMAL)
+                key, owner = block_keys(Words(lines))
+                full = np.flatnonzero(np.bincount(owner, minlength=len(row)) > 0)
+                # Edges of each line's keys; lines without keys have no words.
+                offsets = np.concatenate([np.searchsorted(owner, full), [len(owner)]]).astype(np.int32)
+                h1, h2 = line_hashes(Words(split_lines(part.column(1), _FOLD)[0]))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(pa.array(row[full])), pa.array(place[full].astype(np.int32)), pa.array(h1[full].view(np.int64)),
-                     pa.array(h2[full].view(np.int64)), pa.array(simhash(hashed, words.first)[full].view(np.int64))],
-                    ["id", "line", "h1", "h2", "sim"])
+                     pa.array(h2[full].view(np.int64)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(key))],
+                    schema.names)
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
 
 
-def line_hashes(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Two hashes of each line's word sequence, and the hashed words."""
+def line_hashes(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each line's word sequence."""
     hashed = words.hashes()
     n, first = len(hashed), words.first
     place = (np.arange(n) - np.repeat(first[:-1], np.diff(first))).astype(np.uint64)
@@ -151,84 +258,11 @@ def line_hashes(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if n:
             sums[full] = np.add.reduceat(mix(hashed ^ mix(place * np.uint64(4) + seed)), first[:-1][full])
         out.append(mix(sums + seed))
-    return out[0], out[1], hashed
+    return out[0], out[1]
 
 
-def blocks_for(nodes: int, bits: int) -> int:
-    """Blocks to cut a SimHash into, so that chance puts about 64 nodes in a bucket at most. The pairs found are the same for any number."""
-    blocks = bits + 1
-    while blocks < 2 * bits + 6 and 64 * 2 ** (BITS * (blocks - bits) / blocks) < nodes:
-        blocks += 1
-    return blocks
-
-
-def keys(blocks: int, bits: int) -> list:
-    """A column for each choice of ``blocks - bits`` blocks of ``sim``: what it has there, and which choice it is."""
-    edge = [round(i * BITS / blocks) for i in range(blocks + 1)]
-    out = []
-    for number, chosen in enumerate(combinations(range(blocks), blocks - bits)):
-        mask = sum(((1 << (edge[i + 1] - edge[i])) - 1) << edge[i] for i in chosen)
-        mask -= (mask >> 63) << 64
-        out.append(F.xxhash64(F.col("sim").bitwiseAND(F.lit(mask)), F.lit(number)))
-    return out
-
-
-def bucket_pairs(members: DataFrame, bits: int) -> DataFrame:
-    """(a, b, key): nodes of (key, node, sim[, component]) that share a key and differ in ``bits`` bits at most; a > b.
-
-    A bucket of up to ``SMALL_BUCKET`` nodes gives all pairs, under no key. From a larger one each node comes with one of
-    the smaller nodes near it, drawn by a hash so that no node gets very many, or else with the next larger one: so many
-    pairs as nodes, which name every node that has a near one. With components, all pairs of different components are
-    given instead.
-    """
-    split = "component" in members.columns
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left = None
-        for batch in batches:
-            columns = [c.to_numpy() for c in batch.columns]
-            if left is not None:
-                columns = [np.concatenate(x) for x in zip(left, columns)]
-            key, node, sim = columns[:3]
-            begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[:len(key)])
-            size = np.diff(begin, append=len(key))
-            large = np.repeat((size > SMALL_BUCKET) & (not split), size)
-            place = np.arange(len(key))
-            drawn, after, draw = place.copy(), place.copy(), np.full(len(key), np.iinfo(np.uint64).max)
-            i, j, step = [], [], 1
-            at = np.flatnonzero(key[1:] == key[:-1])
-            while len(at):
-                near = at[np.bitwise_count((sim[at] ^ sim[at + step]).view(np.uint64)) <= bits]
-                if split:
-                    near = near[columns[3][near] != columns[3][near + step]]
-                some = near[~large[near]]
-                i.append(some + step)
-                j.append(some)
-                near = near[large[near]]
-                lot = mix(node[near].view(np.uint64) + mix(node[near + step].view(np.uint64)))
-                won = lot < draw[near + step]
-                draw[near[won] + step], drawn[near[won] + step] = lot[won], near[won]
-                near = near[after[near] == near]
-                after[near] = near + step
-                step += 1
-                at = at[at + step < len(key)]
-                at = at[key[at] == key[at + step]]
-            # The last bucket may go on in the next batch; its pairs are then found again and made distinct later.
-            last = np.searchsorted(np.flip(key) != key[-1], True) if len(key) else 0
-            left = [x[len(key) - last:] for x in columns]
-            # Rows of small buckets have neither.
-            second, alone = np.flatnonzero(drawn < place), np.flatnonzero((drawn == place) & (after > place))
-            i += [second, after[alone]]
-            j += [drawn[second], alone]
-            i, j = np.concatenate(i), np.concatenate(j)
-            yield pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[j]), pa.array(key[i], mask=~large[i])], ["a", "b", "key"])
-
-    dealt = members.repartition("key").sortWithinPartitions("key", "node")
-    return dealt.select("key", "node", "sim", *(["component"] if split else [])).mapInArrow(run, "a long, b long, key long")
-
-
-def normal_lines(docs: DataFrame, pairs: DataFrame, text_col: str) -> DataFrame:
-    """(node, line_text): normalised lines of the nodes that ``pairs`` (a, b) name; words are joined by one space."""
+def line_texts(docs: DataFrame, pairs: DataFrame, text_col: str) -> DataFrame:
+    """(node, line_text): the folded lines of the nodes that ``pairs`` (a, b) name; words are joined by one space."""
     wanted = stored(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "wanted")
     size = FILTER_BITS // 64
     place = F.pmod(F.col("node"), F.lit(FILTER_BITS))
@@ -241,7 +275,7 @@ def normal_lines(docs: DataFrame, pairs: DataFrame, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", 2 << 20):
-                lines, _, _ = split_lines(part.column(0))
+                lines, _, _ = split_lines(part.column(0), _FOLD)
                 words = Words(lines)
                 node = line_hashes(words)[0].view(np.int64)
                 at = np.mod(node, FILTER_BITS)
@@ -258,7 +292,8 @@ def normal_lines(docs: DataFrame, pairs: DataFrame, text_col: str) -> DataFrame:
 def verified(text: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) whose lines in ``text`` have an edit similarity of ``threshold``: 1 - distance / longer length."""
     met = (pairs.join(text.select(F.col("node").alias("a"), F.col("line_text").alias("x")), "a")
-           .join(text.select(F.col("node").alias("b"), F.col("line_text").alias("y")), "b"))
+           .join(text.select(F.col("node").alias("b"), F.col("line_text").alias("y")), "b")
+           .where(F.least(F.char_length("x"), F.char_length("y")) >= threshold * F.greatest(F.char_length("x"), F.char_length("y")) - 1e-6))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -269,53 +304,61 @@ def verified(text: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
     return stored(met.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "links")
 
 
-def links_across(members: DataFrame, keys_: DataFrame, links: DataFrame, text: DataFrame, bits: int, threshold: float) -> DataFrame:
-    """``links`` and the verified pairs of the buckets ``keys_`` whose ends these links leave in different components."""
-    named = (members.join(keys_, "key", "left_semi").join(components(links), "node", "left")
-             .select("key", "node", "sim", F.coalesce("component", "node").alias("component")))
-    named = stored(named, "members")
-    open_ = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    pairs = stored(bucket_pairs(named.join(open_, "key", "left_semi"), bits).select("a", "b").distinct(), "pairs")
-    return links if pairs.isEmpty() else links.union(verified(text, pairs, threshold))
-
-
-def deduplicate_lines(docs: DataFrame, bits: int = 3, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text",
-                      carry: Sequence[str] = ()) -> DataFrame:
+def letter_counts(text: DataFrame) -> DataFrame:
+    """(node, feature): the length of each line and how many of its characters fall into each of 28 classes, at most 65535."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "line_text", 2 << 20):
+                out = []
+                for line in part.column(1).to_pylist():
+                    code = np.frombuffer(line.encode("utf-32-le"), np.uint32)
+                    counts = np.minimum(np.bincount(code % 28, minlength=28), 65535).astype(np.uint16)
+                    out.append(np.uint32(len(code)).tobytes() + counts.tobytes())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(out, pa.binary())], ["node", "feature"])
+
+    return text.mapInArrow(run, "node long, feature binary")
+
+
+def near_by_letters(threshold: float):
+    """Pairs that can reach the threshold: an edit changes the length by one at most, and takes and gives one letter at most."""
+    def near(x: list[bytes], y: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        sizes, counts = zip(*((np.array([np.frombuffer(f, np.uint32, 1)[0] for f in side], np.int64),
+                               np.array([np.frombuffer(f, np.uint16, offset=4) for f in side], np.int32).reshape(-1, 28)) for side in (x, y)))
+        longer = np.maximum(sizes[0][:, None], sizes[1][None])
+        i, j = np.nonzero(longer - np.minimum(sizes[0][:, None], sizes[1][None]) <= (1 - threshold) * longer + 1e-6)
+        keep = []
+        for a in range(0, len(i), 1 << 16):
+            p, q = i[a:a + (1 << 16)], j[a:a + (1 << 16)]
+            more = counts[0][p] - counts[1][q]
+            edits = np.maximum(np.maximum(more, 0).sum(1), np.maximum(-more, 0).sum(1))
+            keep.append(edits <= (1 - threshold) * longer[p, q] + 1e-6)
+        keep = np.concatenate(keep) if keep else np.zeros(0, bool)
+        return i[keep], j[keep]
+
+    return near
+
+
+def shared_blocks(nodes: DataFrame) -> DataFrame:
+    """(key, node, low): the nodes of every block that several share, with the bucket's first. ``nodes`` has (node, keys)."""
+    keyed = nodes.select(F.explode("keys").alias("key"), "node")
+    shared = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key", "low")
+    return stored(keyed.join(shared, "key").select("key", "node", "low"), "members")
+
+
+def deduplicate_lines(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
     """(id, n_lines, n_removed, kept): every row's text without the lines that occur before, here or in another text.
 
     The columns ``carry`` come along as they are, in a struct of this name.
     """
     known = docs.where(F.col(id_col).isNotNull())
-    lines = stored(line_rows(known, id_col, text_col), "lines")
-    nodes = stored(lines.groupBy("h1", "h2").agg(F.min(F.struct("id", "line")).alias("first"), F.first("sim").alias("sim")), "nodes")
-    blocks = blocks_for(nodes.count(), bits)
-    members = nodes.select(F.explode(F.array(*keys(blocks, bits))).alias("key"), F.col("h1").alias("node"), "sim")
-    hot = stored(members.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > HOT_BUCKET).select("key"), "hot")
-    some_hot = not hot.isEmpty()
-    even = members.join(hot, "key", "left_anti") if some_hot else members
-    found = stored(bucket_pairs(even, bits).distinct(), "found")
-    pairs, large = found.select("a", "b").distinct(), found.where("key IS NOT NULL").select("key").distinct()
-    if some_hot:
-        packed = stored(members.join(hot, "key", "left_semi"), "members")
-        sims = nodes.select(F.col("h1").alias("node"), "sim").dropDuplicates(["node"])
-        star = (central_pairs(packed.select("key", "node")).join(sims.withColumnRenamed("node", "a").withColumnRenamed("sim", "x"), "a")
-                .join(sims.withColumnRenamed("node", "b").withColumnRenamed("sim", "y"), "b")
-                .where(F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= bits).select("a", "b"))
-        pairs = stored(pairs.union(star).distinct(), "pairs")
-    text = normal_lines(known, pairs, text_col)
-    links = verified(text, pairs, threshold)
-    if not large.isEmpty():
-        links = links_across(even, large, links, text, bits, threshold)
-    if some_hot:
-        rows = stored(open_members(packed.select("key", "node"), components(links)), "open")
-
-        def near(x: list[bytes], y: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-            x, y = (np.frombuffer(b"".join(side), np.uint64) for side in (x, y))
-            return np.nonzero(np.bitwise_count(x[:, None] ^ y[None]) <= bits)
-
-        features = sims.select("node", F.unhex(F.lpad(F.hex("sim"), 16, "0")).alias("feature"))
-        more = stored(open_pairs(rows, features, near), "pairs")
-        links = links.union(verified(normal_lines(known, more, text_col), more, threshold))
+    nodes = stored(line_rows(known, id_col, text_col).groupBy("h1", "h2").agg(F.min(F.struct("id", "line")).alias("first"), F.min("keys").alias("keys")), "nodes")
+    members = shared_blocks(nodes.select(F.col("h1").alias("node"), "keys"))
+    star = stored(members.where("node > low").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct(), "pairs")
+    links = verified(line_texts(known, star, text_col), star, threshold)
+    rows = stored(open_members(members.select("key", "node").distinct(), components(links)), "open")
+    text = line_texts(known, rows.select(F.col("node").alias("a"), F.col("node").alias("b")), text_col)
+    more = stored(open_pairs(rows, stored(letter_counts(text), "features"), near_by_letters(threshold)), "pairs")
+    links = links.unionByName(verified(text, more, threshold))
     groups = components(links).withColumnRenamed("node", "h1")
     linked = nodes.join(groups, "h1").groupBy("component").agg(F.min("first").alias("first"))
     kept = nodes.join(groups, "h1", "left_anti").select("first").union(linked.select("first"))

@@ -2,8 +2,10 @@ import hashlib
 import random
 import re
 import sys
+from collections import Counter
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -11,7 +13,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 
 from near import classes  # noqa: E402
 
-from inplay.llm import lines, queries  # noqa: E402
+from inplay.llm import lines, minhash, queries  # noqa: E402
 from inplay.llm.common import Words  # noqa: E402
 
 
@@ -30,24 +32,34 @@ def distance(a, b):
     return row[-1]
 
 
-def brute(rows, bits=3, threshold=0.8):
-    """rows of (id, text): lines kept, by plain comparison of all pairs."""
-    first, sims = {}, {}
+def folded(line):
+    """A line as a node: small letters, white space folded."""
+    return " ".join(w for w in re.sub(r"[\x00-\x20\x7f]+", " ", re.sub(r"[A-Z]", lambda m: m[0].lower(), line)).split(" ") if w)
+
+
+def near(a, b, threshold=0.8):
+    return 1 - distance(a, b) / max(len(a), len(b)) >= threshold - 1e-9
+
+
+def keys_of(names):
+    words = Words(lines.split_lines(pa.array(names, pa.string()), lines._NORMAL)[0])
+    out = [set() for _ in names]
+    for key, owner in zip(*(x.tolist() for x in lines.block_keys(words))):
+        out[owner].add(key)
+    return out
+
+
+def brute(rows, threshold=0.8, by_keys=False):
+    """rows of (id, text): lines kept, by plain comparison of all pairs, or of all that share a block."""
+    first = {}
     for i, text in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
         for k, line in enumerate((text or "").split("\n") if text is not None else []):
-            key = " ".join(w for w in normal(line) if w)
-            if key:
-                first.setdefault(key, (i, k))
-    for key in first:
-        words = Words(pa.array([key]))
-        sims[key] = int(lines.simhash(words.hashes(), words.first)[0])
+            if any(normal(line)):
+                first.setdefault(folded(line), (i, k))
     names = sorted(first, key=first.get)
-    number = {k: n for n, k in enumerate(names)}
-    links = []
-    for x, a in enumerate(names):
-        for b in names[:x]:
-            if (sims[a] ^ sims[b]).bit_count() <= bits and 1 - distance(a, b) / max(len(a), len(b)) >= threshold - 1e-9:
-                links.append((number[a], number[b]))
+    keys = keys_of(names) if by_keys else None
+    links = [(x, y) for x, a in enumerate(names) for y, b in enumerate(names[:x])
+             if (keys is None or keys[x] & keys[y]) and min(len(a), len(b)) >= threshold * max(len(a), len(b)) - 1e-9 and near(a, b, threshold)]
     group = classes(range(len(names)), links)
     stay = {first[names[n]] for n in group if group[n] == n}
     out = []
@@ -61,16 +73,58 @@ def brute(rows, bits=3, threshold=0.8):
     return out, len(links)
 
 
+def ordered(rows):
+    return sorted(map(tuple, rows), key=repr)
+
+
 def test_op5(spark, sf, docs):
+    """All that share a block, over the whole table; what the blocks miss is measured below."""
     rows = [(r.doc_id, r.text) for r in docs.collect()]
-    want = {i: (n, gone, None if t is None else len(t), None if t is None else hashlib.sha256(t.encode()).hexdigest()) for i, n, gone, t in brute(rows)[0]}
+    want = {i: (n, gone, None if t is None else len(t), None if t is None else hashlib.sha256(t.encode()).hexdigest()) for i, n, gone, t in brute(rows, by_keys=True)[0]}
     assert {r.doc_id: (r.n_lines, r.n_removed, r.n_kept_chars, r.kept_sha256) for r in queries.op5_fuzzy_lines(spark, sf).collect()} == want
 
 
-@pytest.mark.parametrize("small, hot", [(64, 4096), (3, 4096), (64, 5), (2, 6)])
-def test_fuzzy_lines(spark, monkeypatch, small, hot):
-    monkeypatch.setattr(lines, "SMALL_BUCKET", small)
-    monkeypatch.setattr(lines, "HOT_BUCKET", hot)
+def changed(rng, words, edits, vocabulary):
+    words = list(words)
+    for _ in range(edits):
+        at, kind = rng.randrange(len(words)), rng.random()
+        if kind < 0.6:
+            words[at] = rng.choice(vocabulary)
+        elif kind < 0.8:
+            words.insert(at, rng.choice(vocabulary))
+        elif len(words) > 2:
+            del words[at]
+    return words
+
+
+def test_recall_by_length(docs):
+    """Share of near pairs, judged by their edit similarity alone, that share a block: one word in 30, 20 or 12 changed, or one character."""
+    rng = random.Random(4)
+    base = sorted({folded(x) for r in docs.collect() for x in (r.text or "").split("\n") if len(x.split()) > 2 and len(x) < 600})
+    vocabulary = [w for x in base for w in x.split()]
+    # Short lines are few here, so some are cut from longer ones.
+    base += [" ".join(x.split()[:k]) for k in (3, 5, 8, 11) for x in base[::3]]
+    pairs = []
+    for line in rng.sample(base, 1500):
+        words = line.split()
+        other = " ".join(changed(rng, words, max(1, round(len(words) * rng.choice([1 / 30, 1 / 20, 1 / 12]))), vocabulary))
+        at = rng.randrange(len(line))
+        pairs += [p for p in ((line, other), (line, line[:at] + rng.choice("qxé") + line[at + 1:])) if p[0] != p[1] and lines.distance_within(*p, int(0.2 * max(map(len, p))))]
+    keys = keys_of([x for p in pairs for x in p])
+    found, total = Counter(), Counter()
+    for k, (a, _) in enumerate(pairs):
+        length = next(n for n in (400, 150, 60, 20, 0) if len(a) >= n)
+        total[length] += 1
+        found[length] += bool(keys[2 * k] & keys[2 * k + 1])
+    recall = {n: found[n] / total[n] for n in total}
+    assert set(recall) == {0, 20, 60, 150, 400} and min(total.values()) > 30
+    assert all(r >= 0.9 for r in recall.values()), recall
+
+
+@pytest.mark.parametrize("block", [1024, 3])
+def test_fuzzy_lines(spark, monkeypatch, block):
+    """Equal to the comparison of all pairs, blocks or not: a hot group of variants, lines that only normalise alike, code, numbers."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
     rng = random.Random(11)
     base = [f"word{i}" for i in range(90)]
     out = []
@@ -79,48 +133,48 @@ def test_fuzzy_lines(spark, monkeypatch, small, hot):
         for at in rng.sample(range(90), i % 3):
             words[at] = words[at] + rng.choice("abc")
         out.append((i, "Seen  42 times.\n\n" + " ".join(words) + f"\nown line {rng.random()} number {'x' * (i % 7)}\n!!!"))
-    out += [(100, "SEEN 17 TIMES"), (101, ""), (102, None), (None, "seen 42 times"), (103, "\n\n")]
+    out += [(100, "SEEN 42\ttimes."), (101, ""), (102, None), (None, "seen 42 times"), (103, "\n\n"),
+            (104, "12 34 56\n98 70 11\n2019 2020\n1066 1492\nx = a + b\ny = c - d\nif (n) { return 1; }")]
     want, links = brute(out)
     assert links > 20
     got = lines.deduplicate_lines(spark.createDataFrame(out, "doc_id long, text string")).collect()
-    order = lambda rows: sorted(map(tuple, rows), key=repr)
-    assert order(got) == order(want)
-
-
-def test_any_number_of_blocks_finds_the_same(spark, monkeypatch):
-    rng = random.Random(2)
-    rows = []
-    for i in range(400):
-        value = rng.getrandbits(64)
-        for j in range(3):
-            rows.append((3 * i + j, value - (1 << 63)))
-            value ^= 1 << rng.randrange(64) | 1 << rng.randrange(64)
-    nodes = spark.createDataFrame(rows, "node long, sim long")
-    F = lines.F
-    found = []
-    for blocks in (4, 5, 6):
-        members = nodes.select(F.explode(F.array(*lines.keys(blocks, 3))).alias("key"), "node", "sim")
-        found.append(sorted(map(tuple, lines.bucket_pairs(members, 3).select("a", "b").distinct().collect())))
-    want = sorted((max(a, b), min(a, b)) for a, x in rows for b, y in rows if a > b and ((x ^ y) & (2 ** 64 - 1)).bit_count() <= 3)
-    assert found == [want] * 3
-    assert lines.blocks_for(10, 3) == 4 and lines.blocks_for(10 ** 8, 3) == 5
-
-
-def test_simhash_counts_distinct_words():
-    rng = random.Random(5)
-    runs = [[rng.getrandbits(64) for _ in range(n)] for n in (0, 1, 3, 254, 255, 256, 1500, 0)]
-    runs = [r + r[:len(r) // 3] for r in runs]
-    flat, first = lines.np.array(sum(runs, []), lines.np.uint64), lines.np.cumsum([0, *map(len, runs)])
-    for run, got in zip(runs, lines.simhash(flat, first).tolist()):
-        words = lines.mix(lines.np.array(sorted({h >> 24 << 24 for h in run}), lines.np.uint64)).tolist()
-        assert got == sum(1 << b for b in range(64) if 2 * sum(w >> b & 1 for w in words) > len(words))
+    assert ordered(got) == ordered(want)
+    assert {r.kept for r in got if r.doc_id == 104} == {out[-1][1]}
 
 
-def test_lines_odd(odd):
+def test_majority_counts_distinct_features():
+    rng = random.Random(5)
+    runs = [[rng.getrandbits(32) for _ in range(n)] for n in (1, 3, 254, 255, 256, 1500)]
+    flat = [(g, f) for g, run in enumerate(runs) for f in run + run[:len(run) // 3]]
+    rng.shuffle(flat)
+    group, size, value = lines.majority(*(np.array(x, np.uint64) for x in zip(*flat)))
+    assert group.tolist() == list(range(6)) and size.tolist() == [len(set(r)) for r in runs]
+    for run, got in zip(runs, value.tolist()):
+        bits = [2 * sum(f >> b & 1 for f in set(run)) > len(set(run)) for b in range(32)]
+        assert got == sum(1 << b for b in range(32) if bits[b])
+
+
+def test_pairs_that_letters_let_pass():
+    rng = random.Random(6)
+    text = ["".join(rng.choice("abcdé ") for _ in range(rng.randrange(1, 30))) for _ in range(60)]
+    text += [t[:k] + t[k + 1:] for t in text for k in (0, len(t) // 2)]
+    text = [t for t in text if t]
+    feature = [np.uint32(len(t)).tobytes() + np.bincount([ord(c) % 28 for c in t], minlength=28).astype(np.uint16).tobytes() for t in text]
+    got = set(zip(*(x.tolist() for x in lines.near_by_letters(0.8)(feature, feature))))
+    assert {(i, j) for i, a in enumerate(text) for j, b in enumerate(text) if near(a, b)} <= got and len(got) < len(text) ** 2 / 2
+
+
+def test_lines_odd(spark, odd):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     got = lines.deduplicate_lines(odd).collect()
-    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, brute(rows)[0]))
+    assert ordered(got) == ordered(brute(rows)[0])
     assert lines.deduplicate_lines(odd.limit(0)).count() == 0
+    # Very long lines: of many words, of few words over and over, of one word.
+    letters = [a + b + c for a in "abcdefghij" for b in "klmnopqrst" for c in "uvwxyz"]
+    many = " ".join(letters[k * k % 599] + letters[k * 7 % 600] for k in range(30_000))
+    few = " ".join(f"word{k % 97}" for k in range(5000))
+    df = spark.createDataFrame([(1, many), (2, many.replace("akuaku", "other")), (3, "x" * 300_000), (4, few), (5, few.replace("word77 ", "sword77 "))], "doc_id long, text string")
+    assert [r.n_removed for r in lines.deduplicate_lines(df).orderBy("doc_id").collect()] == [0, 1, 0, 0, 1]
 
 
 def test_distance():
