@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -20,32 +22,56 @@ _SPACE[list(SPACES)] = True
 _LONG = 48
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _folders: dict[str, str] = {}
-_paths: list[str] = []
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as a table in the shared folder and read again; this cuts the lineage and survives lost executors."""
-    spark = df.sparkSession
+def _home(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _folders:
         _folders[app] = f"{shared_folder(spark)}/llm-{app}"
-    path = f"{_folders[app]}/{name}-{uuid.uuid4().hex}"
-    _paths.append(path)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return _folders[app]
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """A folder of its own for what ``stored`` writes inside; it is deleted at the end, and nothing else is.
+
+    What goes on afterwards has to be written with ``keep``. Scopes may lie in each other and in several threads.
+    """
+    folder = f"{_home(spark)}/scratch-{uuid.uuid4().hex}"
+    token = _scratch.set(folder)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        delete(spark, folder)
 
 
-def written() -> int:
-    """How many tables ``stored`` has written so far."""
-    return len(_paths)
+def delete(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that this module has written, if it is there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def kept_path(spark: SparkSession, name: str, keep: bool = True) -> str:
+    """A path for a new table: in the folder of the scope, or outside all scopes."""
+    return f"{(None if keep else _scratch.get()) or _home(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """``df`` written as a table in the shared folder and read again; this cuts the lineage and survives lost executors."""
+    spark = df.sparkSession
+    path = kept_path(spark, name, keep)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def forget(spark: SparkSession, since: int, kept: Sequence[str] = ()) -> None:
-    """Delete the tables written after the first ``since``, but those under the names ``kept``."""
-    for folder in _paths[since:]:
-        if folder.rsplit("/", 1)[1].rsplit("-", 1)[0] not in kept:
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` has not, made from ``name``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def carried(docs: DataFrame, columns: Sequence[str]) -> list[T.StructField]:

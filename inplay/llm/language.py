@@ -157,11 +157,11 @@ def has_letter(column: pa.Array) -> list[bool]:
 
 
 def held_out(id_col: str, folds: int = 4, fold: int = 2) -> Column:
-    """Whether the row belongs to the fold that nothing is learnt from."""
-    return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == fold
+    """Whether the row belongs to the fold that nothing is learnt from; a row without an id does."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == fold, F.lit(True))
 
 
-def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``docs`` with ``_language``, learnt from the rows that are not held out."""
-    model = fit(docs.where(~F.coalesce(held_out(id_col), F.lit(True))), id_col, text_col, lang_col)
-    return docs.withColumn("_language", identify(docs, model, text_col))
+def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", into: str = "_language") -> DataFrame:
+    """``docs`` with the struct ``into``, learnt from the rows that are not held out."""
+    model = fit(docs.where(~held_out(id_col)), id_col, text_col, lang_col)
+    return docs.withColumn(into, identify(docs, model, text_col))

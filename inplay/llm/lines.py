@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from inplay.llm.common import Words, carried, mix, slices, stored, text_bytes
+from inplay.llm.common import Words, carried, mix, scratch, slices, stored, text_bytes
 from inplay.llm.components import components
 from inplay.llm.minhash import open_members, open_pairs
 
@@ -345,24 +345,30 @@ def shared_blocks(nodes: DataFrame) -> DataFrame:
     return stored(keyed.join(shared, "key").select("key", "node", "low"), "members")
 
 
-def deduplicate_lines(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
-    """(id, n_lines, n_removed, kept): every row's text without the lines that occur before, here or in another text.
-
-    The columns ``carry`` come along as they are, in a struct of this name.
-    """
-    known = docs.where(F.col(id_col).isNotNull())
+def _kept_places(known: DataFrame, threshold: float, id_col: str, text_col: str) -> DataFrame:
+    """(id, places): the lines that stay of each text."""
     nodes = stored(line_rows(known, id_col, text_col).groupBy("h1", "h2").agg(F.min(F.struct("id", "line")).alias("first"), F.min("keys").alias("keys")), "nodes")
     members = shared_blocks(nodes.select(F.col("h1").alias("node"), "keys"))
-    star = stored(members.where("node > low").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct(), "pairs")
-    links = verified(line_texts(known, star, text_col), star, threshold)
-    rows = stored(open_members(members.select("key", "node").distinct(), components(links)), "open")
+    with scratch(known.sparkSession):
+        star = stored(members.where("node > low").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct(), "pairs")
+        links = verified(line_texts(known, star, text_col), star, threshold)
+        first = stored(links, "links", keep=True)
+    rows = stored(open_members(members.select("key", "node").distinct(), components(first)), "open")
     text = line_texts(known, rows.select(F.col("node").alias("a"), F.col("node").alias("b")), text_col)
     more = stored(open_pairs(rows, stored(letter_counts(text), "features"), near_by_letters(threshold)), "pairs")
-    links = links.unionByName(verified(text, more, threshold))
-    groups = components(links).withColumnRenamed("node", "h1")
+    groups = components(first.unionByName(verified(text, more, threshold))).withColumnRenamed("node", "h1")
     linked = nodes.join(groups, "h1").groupBy("component").agg(F.min("first").alias("first"))
     kept = nodes.join(groups, "h1", "left_anti").select("first").union(linked.select("first"))
-    places = stored(kept.groupBy("first.id").agg(F.collect_list("first.line").alias("places")), "places")
+    return kept.groupBy("first.id").agg(F.collect_list("first.line").alias("places"))
+
+
+def deduplicate_lines(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
+    """(id, n_lines, n_removed, kept): every row's text without the lines that occur before, here or in another text.
+
+    The columns ``carry`` come along as they are, in a struct of this name.
+    """
+    with scratch(docs.sparkSession):
+        places = stored(_kept_places(docs.where(F.col(id_col).isNotNull()), threshold, id_col, text_col), "places", keep=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         space = {i for i in range(128) if _NORMAL[i] in (10, 32)}

@@ -1,10 +1,12 @@
 """Near-duplicate documents by ProbMinHash over weighted word shingles, banding, and exact verification.
 
-Every distinct shingle of a text is a Poisson process with the shingle's count as its rate; arrivals fall on random
-registers, which keep the first. A process ends once its next arrival is later than every register's first, so most
-end after one or two steps. Two texts agree in a register with their probability Jaccard similarity. Registers are
-joined into bands; texts that share a band are compared, and linked if their shingle sets have a Jaccard similarity
-of at least ``threshold``. Classes are the connected components of links.
+Every distinct shingle of a text is a Poisson process whose rate is its weight; arrivals fall on random registers, which
+keep the first. A process ends once its next arrival is later than every register's first, so most end after one or
+two steps. Two texts agree in a register with their probability Jaccard similarity. Each text is sketched with weight 1
+for every shingle, where that similarity is the Jaccard similarity of the shingle sets, and with the shingles' counts.
+Registers are joined into bands; texts that share a band of either sketch are compared, and linked if their shingle
+sets have a Jaccard similarity of at least ``threshold``. So a pair is retrieved by the measure that decides on it,
+however often shingles repeat. Classes are the connected components of links.
 
 Copies of a text are one node. In a bucket all nodes are first compared with its most central one, which settles the
 usual groups in one comparison for each node. Only buckets that still hold several components go on: there every
@@ -12,7 +14,8 @@ pair of nodes from different components is compared by its registers, block by b
 could join two components is left out, while a group of copies costs its size and not its square.
 
 Defined cases: texts without words, null texts and rows without id are alone in their class. A text of fewer words than a shingle is one
-shingle. An id that occurs with several texts joins their classes. An empty table gives an empty result.
+shingle. Ids are integers. An id that occurs with several texts joins their classes. Very long texts are sketched whole,
+in slices of a few texts. Of a class the least id names it. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from inplay.llm.common import Words, mix, slices, stored
+from inplay.llm.common import Words, mix, scratch, slices, stored
 from inplay.llm.components import components
 
 #: Nodes of a bucket that one task compares with as many others.
@@ -78,10 +81,19 @@ def sketch(found: np.ndarray, row: np.ndarray, weight: np.ndarray, rows: int, re
     return winner.reshape(rows, registers)
 
 
+def banded(won: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """The registers of each sketch, ``rows`` at a time, as one hash a band."""
+    keys = np.zeros((len(won), bands), np.uint64)
+    for k in range(rows):
+        keys = mix(keys * _STEP + won.reshape(-1, bands, rows)[:, :, k] + np.arange(bands, dtype=np.uint64))
+    return keys
+
+
 def sketches(docs: DataFrame, bands: int, rows: int, width: int, id_col: str, text_col: str) -> DataFrame:
     """(id, digest, bands, registers) of every row; texts without words have null bands.
 
-    ``bands`` are hashed values of ``rows`` registers each, ``registers`` has one byte of each register.
+    ``bands`` are hashed values of ``rows`` registers each: of the sketch with weight 1 for every shingle, and of the sketch
+    by counts where this is another. ``registers`` has one byte of each register of the first.
     """
     count = bands * rows
     schema = T.StructType([
@@ -92,15 +104,20 @@ def sketches(docs: DataFrame, bands: int, rows: int, width: int, id_col: str, te
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
                 words = Words(part.column(1))
-                won = sketch(*weighted(*shingles(words, width)), part.num_rows, count)
-                keys = np.zeros((part.num_rows, bands), np.uint64)
-                for k in range(rows):
-                    keys = mix(keys * _STEP + won.reshape(-1, bands, rows)[:, :, k] + np.arange(bands, dtype=np.uint64))
+                found, row, weight = weighted(*shingles(words, width))
+                won = sketch(found, row, np.ones(len(found)), part.num_rows, count)
+                # Where no shingle repeats, the weighted sketch is the same.
+                repeats = np.unique(row[weight > 1])
+                own = np.isin(row, repeats)
+                heavy = sketch(found[own], np.searchsorted(repeats, row[own]), weight[own], len(repeats), count)
+                keys = banded(np.concatenate([won, heavy]), bands, rows)
+                owner = np.concatenate([np.arange(part.num_rows), repeats])
+                keys = keys[np.argsort(owner, kind="stable")]
                 empty = np.diff(words.first) == 0
                 data, ends = words.data.tobytes(), words.offsets.tolist()
                 digest = [xxhash.xxh3_128_digest(data[a:b]) for a, b in zip(ends, ends[1:])]
                 low = (won & np.uint64(255)).astype(np.uint8)
-                offsets = pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * bands)
+                offsets = pa.array((np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=part.num_rows))]) * bands).astype(np.int32))
                 lists = pa.ListArray.from_arrays(offsets, pa.array(keys.view(np.int64).ravel()), mask=pa.array(empty))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(digest, pa.binary()), lists, pa.array([x.tobytes() for x in low], pa.binary())],
@@ -230,9 +247,18 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, ban
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, class_id): the least id of each document's class.
 
-    A pair at the threshold shares no band with a probability of (1 - threshold ** rows) ** bands, 3e-6 here.
+    A pair at the threshold, of whatever counts, shares no band with a probability of (1 - threshold ** rows) ** bands, 3e-6 here.
     Every row of ``docs`` has one row; rows without words have their own id as class, rows without id null.
     """
+    with scratch(docs.sparkSession):
+        groups = stored(_classes(docs, threshold, width, bands, rows, id_col, text_col), "groups", keep=True)
+    known = groups.select(F.col("node").alias("_id"), F.col("component").alias("class_id"))
+    ids = docs.select(F.col(id_col), F.col(id_col).cast("long").alias("_id"))
+    return ids.join(known, "_id", "left").select(id_col, F.coalesce("class_id", "_id").alias("class_id"))
+
+
+def _classes(docs: DataFrame, threshold: float, width: int, bands: int, rows: int, id_col: str, text_col: str) -> DataFrame:
+    """(node, component) of the ids that are linked to others."""
     found = stored(sketches(docs.where(F.col(id_col).isNotNull()), bands, rows, width, id_col, text_col), "sketches")
     worded = found.where("bands IS NOT NULL")
     nodes = stored(worded.groupBy("digest").agg(F.min("id").cast("long").alias("node"), F.first("bands").alias("bands"), F.first("registers").alias("registers")), "nodes")
@@ -255,7 +281,4 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, ban
         more = stored(open_pairs(rows_open, stored(features, "features"), near_by_samples(bands * rows, threshold)), "pairs")
         links = links.unionByName(stored(jaccard(own, more, width).where(F.col("similarity") >= threshold), "links"))
     copies = worded.join(nodes.select("digest", "node"), "digest").select(F.col("id").cast("long").alias("id"), "node")
-    groups = stored(components(links.select("a", "b").union(copies.select(F.col("id").alias("a"), F.col("node").alias("b")))), "groups")
-    known = groups.select(F.col("node").alias("_id"), F.col("component").alias("class_id"))
-    ids = docs.select(F.col(id_col), F.col(id_col).cast("long").alias("_id"))
-    return ids.join(known, "_id", "left").select(id_col, F.coalesce("class_id", "_id").alias("class_id"))
+    return components(links.select("a", "b").union(copies.select(F.col("id").alias("a"), F.col("node").alias("b"))))

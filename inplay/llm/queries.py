@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from inplay.llm import bpe, bytecnn, fingerprints, html, language, licenses, lines, minhash, packing, quality, spelling, substrings, trie
-from inplay.llm.common import stored, table
+from inplay.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -75,7 +75,7 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations")
     convs = conversations.select("conv_id").where("conv_id IS NOT NULL")
-    return trie.prefix_trie(trie.rebuilt(stored(trie.ordered_turns(conversations), "turns"), convs), convs)
+    return trie.prefix_trie(trie.rebuilt(trie.ordered_turns(conversations), convs), convs)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from inplay.llm.common import mix, slices, stored
+from inplay.llm.common import mix, scratch, slices, stored
 
 #: Parts the letters are dealt into; a signature leaves out two of them.
 PARTS = 4
@@ -152,7 +152,11 @@ def variants(words: DataFrame, ratio: int = 10) -> DataFrame:
     ``form`` is the near word of the largest n if that is ``ratio`` times the word's own n, ``root`` the last of the
     forms that follow one from another.
     """
-    words = stored(words, "words")
+    with scratch(words.sparkSession):
+        return stored(_variants(stored(words, "words"), ratio), "variants", keep=True)
+
+
+def _variants(words: DataFrame, ratio: int) -> DataFrame:
     near = near_words(words).groupBy("word").agg(
         F.count("*").alias("n_near"), F.min_by(F.struct("near", "near_n"), F.struct(-F.col("near_n"), F.col("near"))).alias("best"))
     found = stored(words.join(near, "word", "left").select(

@@ -23,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from inplay.llm.common import slices, stored
+from inplay.llm.common import scratch, slices, stored
 from inplay.llm.listrank import ranked
 
 _P = (1 << 61) - 1
@@ -170,7 +170,11 @@ def prefix_trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
     nodes of the subtree; saved_tokens: of the subtree, (members - 1) times the bytes of a node's last text; ends_sha256:
     hash of the ids of the members that end here.
     """
-    convs = convs.select("conv_id").distinct()
+    with scratch(turns.sparkSession):
+        return stored(_nodes(turns, convs.select("conv_id").distinct()), "trie", keep=True)
+
+
+def _nodes(turns: DataFrame, convs: DataFrame) -> DataFrame:
     found = prefixes(turns)
     found = stored(found.unionByName(convs.select("conv_id", F.lit(0).cast("long").alias("depth"), *(F.lit(0).cast("long").alias(c) for c in ("a1", "a2", "b1", "b2", "size")))), "members")
     nodes = found.groupBy("depth", "a1", "a2").agg(

@@ -89,3 +89,13 @@ def test_components(spark):
     want = classes(nodes, [(a, b) for a, b in links if a in nodes and b in nodes])
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {k: v for k, v in want.items()}
+
+
+def test_repeated_shingles_do_not_hide_a_pair(spark):
+    """Equal shingle sets, one block of ten words two times against very many."""
+    rows = []
+    for k in range(12):
+        words, block = [f"w{k}x{i}" for i in range(300)], [f"b{k}x{i}" for i in range(10)]
+        rows += [(10 * k + n, " ".join(words + block * times)) for n, times in enumerate((2, 40, 100, 200))]
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r.class_id == r.doc_id // 10 * 10 for r in found) and len(found) == len(rows)
