@@ -63,6 +63,17 @@ def running_totals(
     return out.drop(*names)
 
 
+def _dealt_whole(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows dealt by ``keys`` with all columns, whatever is used of them afterwards.
+
+    The rows and the totals of their cells then come from one equal exchange, so the source is read and shuffled once.
+    The condition is always true; naming every column after the exchange keeps the optimizer from cutting the
+    columns before it for the totals alone, and the number of the partition keeps the condition where it is.
+    """
+    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return df.repartition(*keys).where((F.spark_partition_id() >= 0) | (F.xxhash64(*hashable) == 0))
+
+
 def _accumulate(df, sums, levels, order_by, within, grand_suffix, wanted):
     keys = [*within, *levels]
     ordered = Window.partitionBy(*keys).orderBy(*order_by)
@@ -76,6 +87,7 @@ def _accumulate(df, sums, levels, order_by, within, grand_suffix, wanted):
             added += [F.sum(c).over(everything).alias(n + grand_suffix) for n, c in sums.items()]
         return df.select("*", *added)
 
+    df = _dealt_whole(df, keys)
     rows = df.select("*", *added)
     # One row per cell: its totals and its first row, which is what follows the cell before it.
     own = [F.sum(c).alias(f"__own_{n}") for n, c in sums.items()]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -10,13 +11,15 @@ from inplay.functions import display_name, hit_label, label_text, season, thresh
 from inplay.operators import checks, extract, features, ingest, metrics, profile, quality, split
 from inplay.operators.model import coefficient_impact, coefficients, score_by_transform
 from inplay.plans import experiments
-from inplay.plans.load import rows_to_load
+from inplay.plans.load import publish_range, rows_to_load
 from inplay.schema import (
     CATEGORICAL, CONTACT_NUMERIC, DATE_COLUMN, KEY_COLUMN, LABEL_COLUMN, MODEL_B_FEATURES, SAMPLE_SEED,
     SWING_NUMERIC, TRACKING_WINDOW,
 )
 from inplay.sources import sample_feed
+from inplay.session import shared_folder
 from inplay.sources.landing import scan_days
+from inplay.sources.published import PublishedTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -24,6 +27,8 @@ _REGISTRY: dict[str, Query] = {}
 # The load queries act on a table that holds every day before this one.
 STORED_BEFORE = "2025-01-01"
 LOAD_RANGE = ("2021-01-01", "2025-12-31")
+# Two loads that overlap.
+ROUND_TRIP = [("2021-01-01", "2024-06-30"), ("2024-01-01", "2025-12-31")]
 SCAN_RANGE = ("2021-04-01", "2021-10-03")
 # Scores by plain arithmetic, so that ranking metrics can be checked without a fitted model.
 SCORE_A = ("least(1e0, greatest(0e0, (launch_speed - 15e0) / 130e0 + CASE bb_type WHEN 'line_drive' THEN 25e-2 "
@@ -119,6 +124,35 @@ def load_total(spark, sf):
     return ingest.load_total(_report(spark, sf))
 
 
+@register
+def load_round_trip(spark, sf):
+    """Two overlapping loads and a repeated one into a published table, beside a stage that was never published: what each day got.
+
+    ``observations`` counts the rows that the table gives back; the rest comes from its manifests.
+    """
+    pitches = sample_feed.pitches(spark, sf)
+    table = PublishedTable(spark, f"{shared_folder(spark)}/inplay-published-{uuid.uuid4().hex}")
+    table.stage(ingest.assign_keys(ingest.clean_batted_balls(scan_days(pitches, *ROUND_TRIP[1]))), "left by a load that died")
+    done = [publish_range(pitches, table, *days) for days in (*ROUND_TRIP, ROUND_TRIP[1])]
+    # The third load changed nothing, so each day's change is that of the load that brought it.
+    reports = [r.report.select(DATE_COLUMN, F.lit(k + 1).alias("load_number"), "change") for k, r in enumerate(done)]
+    changed = reports[0].union(reports[1]).union(reports[2]).where("change <> 0").groupBy(DATE_COLUMN).agg(
+        F.min("load_number").alias("load_number"), F.sum("change").alias("change"))
+    read = table.read().groupBy(DATE_COLUMN).agg(F.count("*").alias("observations"), F.count_distinct(KEY_COLUMN).alias("keys"))
+    return read.join(table.manifest().drop("load", "rows"), DATE_COLUMN).join(changed, DATE_COLUMN).select(
+        DATE_COLUMN, "load_number", "change", "observations", "keys", "first_key", "last_key")
+
+
+@register
+def published_unloaded_days(spark, sf):
+    """Days and rows that a load would add to a published table, whose stored days come from its manifests."""
+    pitches = sample_feed.pitches(spark, sf)
+    table = PublishedTable(spark, f"{shared_folder(spark)}/inplay-published-{uuid.uuid4().hex}")
+    publish_range(pitches, table, *ROUND_TRIP[0])
+    new = ingest.unloaded(ingest.clean_batted_balls(scan_days(pitches, *LOAD_RANGE)), table.days())
+    return quality.counts_by(new, "day")
+
+
 @register
 def surrogate_key(spark, sf):
     """The dense key of every pitch, next to values that identify the pitch."""

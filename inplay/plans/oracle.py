@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from inplay.operators.metrics import DIFFERENCE, METRICS, MODEL_A, MODEL_B
 from inplay.plans.catalog import (
-    CATEGORICAL, CONTACT_NUMERIC, LOAD_RANGE, NUMERIC_B, ROC_THRESHOLDS, SAMPLE_DRAW, SCAN_RANGE, SCORE_A, SCORE_B, STORED_BEFORE,
+    CATEGORICAL, CONTACT_NUMERIC, LOAD_RANGE, NUMERIC_B, ROC_THRESHOLDS, ROUND_TRIP, SAMPLE_DRAW, SCAN_RANGE, SCORE_A, SCORE_B, STORED_BEFORE,
 )
 from inplay.schema import (
     BASELINE_WINDOW, BALL_TYPES_DISPLAY_ORDER, CONTACT_BOUNDS, EVENT_COLUMNS, EXTRACT_COLUMNS, FEATURE_DISPLAY_NAMES,
@@ -256,6 +256,13 @@ def oracle_sql() -> dict[str, str]:
             "SELECT game_date, n AS observations, CAST(1001 + upto - n AS BIGINT) AS first_key, "
             "CAST(1000 + upto AS BIGINT) AS last_key FROM (SELECT *, sum(n) OVER (ORDER BY game_date) AS upto "
             "FROM (SELECT game_date, count(*) AS n FROM clean GROUP BY 1))"),
+        "load_round_trip": _with(
+            f"SELECT game_date, CASE WHEN game_date <= DATE '{ROUND_TRIP[0][1]}' THEN 1 ELSE 2 END AS load_number, n AS change, "
+            "n AS observations, n AS keys, CAST(1 + upto - n AS BIGINT) AS first_key, CAST(upto AS BIGINT) AS last_key FROM ("
+            "SELECT *, sum(n) OVER (ORDER BY game_date) AS upto FROM (SELECT game_date, count(*) AS n FROM clean "
+            f"WHERE game_date BETWEEN DATE '{ROUND_TRIP[0][0]}' AND DATE '{ROUND_TRIP[1][1]}' GROUP BY 1))"),
+        "published_unloaded_days": _with(
+            f"SELECT game_date, count(*) AS observations FROM {_CLEAN_RANGE} AND game_date > DATE '{ROUND_TRIP[0][1]}' GROUP BY 1"),
         "qa_total": _with("SELECT count(*) AS observations FROM batted_ball_events"),
         "qa_date_range": _with(
             "SELECT min(game_date) AS date_of_first_record, max(game_date) AS date_of_last_record FROM batted_ball_events"),

@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inplay.schema import DATE_COLUMN
+from inplay.schema import DATE_COLUMN, KEY_COLUMN
 
 # Fixed value: rows per insert batch.
 BATCH_ROWS = 5000
@@ -47,3 +47,21 @@ def read_table(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
 def append_table(rows: DataFrame, options: Mapping[str, str]) -> None:
     rows.write.format("jdbc").mode("append").options(**append_options(options)).save()
 
+
+class JdbcTable:
+    """A database table that loads can read and append to: days are read in parallel ranges, rows are inserted in batches."""
+
+    def __init__(self, spark: SparkSession, options: Mapping[str, str], first: date, last: date, partitions: int = 32):
+        self.spark, self.options = spark, dict(options)
+        self.reading = partitioned_read(options, first, last, partitions)
+
+    def read(self) -> DataFrame:
+        return read_table(self.spark, self.reading)
+
+    def last_key(self) -> int:
+        """The largest key, asked of the database."""
+        query = {**{k: v for k, v in self.options.items() if k != "dbtable"}, "query": f"SELECT max({KEY_COLUMN}) AS last_key FROM {self.options['dbtable']}"}
+        return read_table(self.spark, query).first()[0] or 0
+
+    def append(self, rows: DataFrame) -> None:
+        append_table(rows, self.options)
