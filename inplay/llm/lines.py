@@ -19,16 +19,18 @@ whole. An empty table gives an empty result.
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator, Sequence
-from difflib import SequenceMatcher
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from inplay.llm.common import Words, carried, mix, scratch, slices, stored, text_bytes
 from inplay.llm.components import components
-from inplay.llm.minhash import open_members, open_pairs
+from inplay.llm.minhash import open_members
 
 #: Words from which on a line takes the next number of blocks; the numbers are powers of two from ``BLOCKS`` on.
 LEVELS = (11, 32, 80)
@@ -38,7 +40,7 @@ FEW_WORDS = 8
 #: Features that a block has at least, of words and of bytes.
 LEAST = (2, 2)
 #: How far two near lines differ in their numbers of words, for lines at a limit.
-_SLACK = 0.18
+_SLACK = 0.12
 #: Bits of the filter that picks lines to be verified. It is of fixed size; what it lets through too much does no harm.
 FILTER_BITS = 1 << 25
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -186,7 +188,7 @@ def _levels(count: np.ndarray, wanted: np.ndarray) -> Iterator[tuple[int, np.nda
 def distance_within(a: str, b: str, most: int) -> bool:
     """Whether the edit distance is at most ``most``; columns of the table are bits of an integer.
 
-    Of long lines, it is enough if keeping what their words have in common and replacing the rest takes so few edits.
+    Of longer lines, it is enough if keeping what their words have in common and replacing the rest takes so few edits.
     """
     if abs(len(a) - len(b)) > most:
         return False
@@ -199,7 +201,7 @@ def distance_within(a: str, b: str, most: int) -> bool:
     a, b = a[at:len(a) - back], b[at:len(b) - back]
     if max(len(a), len(b)) <= most:
         return True
-    if len(a) > 400 and _word_edits(a, b) <= most:
+    if len(a) > 64 and _word_edits(a, b) <= most:
         return True
     where: dict[str, int] = {}
     for i, c in enumerate(a):
@@ -218,10 +220,39 @@ def distance_within(a: str, b: str, most: int) -> bool:
 
 
 def _word_edits(a: str, b: str) -> int:
-    """Edits that turn ``a`` into ``b`` if whole words are kept or replaced: no fewer than the edit distance."""
+    """Edits that turn ``a`` into ``b`` if whole words are kept or replaced: no fewer than the edit distance.
+
+    Words that occur once in both are kept as far as their order is the same, and equal words next to those.
+    """
     x, y = a.split(" "), b.split(" ")
-    size = lambda words: sum(map(len, words)) + len(words)
-    return sum(max(size(x[i:j]), size(y[k:m])) for kind, i, j, k, m in SequenceMatcher(None, x, y, autojunk=False).get_opcodes() if kind != "equal")
+    once = {w for w, n in Counter(y).items() if n == 1}
+    where = {w: j for j, w in enumerate(y) if w in once}
+    again = Counter(x)
+    places = [(i, where[w]) for i, w in enumerate(x) if w in where and again[w] == 1]
+    # The longest run of such words in the same order, by patience sorting.
+    ends: list[int] = []
+    best: list[int] = []
+    back: list[int] = []
+    for k, (_, j) in enumerate(places):
+        at = bisect_left(ends, j)
+        ends[at:at + 1] = [j]
+        best[at:at + 1] = [k]
+        back.append(best[at - 1] if at else -1)
+    kept, k = [(len(x), len(y))], best[-1] if best else -1
+    while k >= 0:
+        kept.append(places[k])
+        k = back[k]
+    edits, i, j = 0, 0, 0
+    for p, q in reversed(kept):
+        while i < p and j < q and x[i] == y[j]:
+            i, j = i + 1, j + 1
+        e, f = p, q
+        while e > i and f > j and x[e - 1] == y[f - 1]:
+            e, f = e - 1, f - 1
+        if e > i or f > j:
+            edits += max(sum(map(len, x[i:e])) + e - i, sum(map(len, y[j:f])) + f - j)
+        i, j = p + 1, q + 1
+    return edits
 
 
 def line_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -237,28 +268,23 @@ def line_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 full = np.flatnonzero(np.bincount(owner, minlength=len(row)) > 0)
                 # Edges of each line's keys; lines without keys have no words.
                 offsets = np.concatenate([np.searchsorted(owner, full), [len(owner)]]).astype(np.int32)
-                h1, h2 = line_hashes(Words(split_lines(part.column(1), _FOLD)[0]))
+                h1, h2 = line_hashes(folded_lines(part.column(1)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(row[full])), pa.array(place[full].astype(np.int32)), pa.array(h1[full].view(np.int64)),
-                     pa.array(h2[full].view(np.int64)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(key))],
+                    [part.column(0).take(pa.array(row[full])), pa.array(place[full].astype(np.int32)), pa.array(h1[full]), pa.array(h2[full]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(key))],
                     schema.names)
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
 
 
-def line_hashes(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Two hashes of each line's word sequence."""
-    hashed = words.hashes()
-    n, first = len(hashed), words.first
-    place = (np.arange(n) - np.repeat(first[:-1], np.diff(first))).astype(np.uint64)
-    out = []
-    for seed in (np.uint64(1), np.uint64(2)):
-        sums = np.zeros(len(first) - 1, np.uint64)
-        full = np.diff(first) > 0
-        if n:
-            sums[full] = np.add.reduceat(mix(hashed ^ mix(place * np.uint64(4) + seed)), first[:-1][full])
-        out.append(mix(sums + seed))
-    return out[0], out[1]
+def folded_lines(column: pa.Array) -> list[bytes]:
+    """The lines of all texts as nodes take them: words joined by one space."""
+    return [b" ".join(x.split()) for x in split_lines(column, _FOLD)[0].to_pylist()]
+
+
+def line_hashes(folded: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each line."""
+    both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, folded)), np.int64).reshape(-1, 2)
+    return both[:, 0], both[:, 1]
 
 
 def line_texts(docs: DataFrame, pairs: DataFrame, text_col: str) -> DataFrame:
@@ -275,15 +301,13 @@ def line_texts(docs: DataFrame, pairs: DataFrame, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", 2 << 20):
-                lines, _, _ = split_lines(part.column(0), _FOLD)
-                words = Words(lines)
-                node = line_hashes(words)[0].view(np.int64)
+                lines = folded_lines(part.column(0))
+                node = line_hashes(lines)[0]
                 at = np.mod(node, FILTER_BITS)
-                hit = (shared.value[at // 64] >> (at % 64)) & 1
-                some = np.flatnonzero((hit == 1) & (np.diff(words.first) > 0)).tolist()
-                if some:
-                    text = [b" ".join(lines[i].as_py().split()) for i in some]
-                    yield pa.RecordBatch.from_arrays([pa.array(node[some]), pa.array(text, pa.binary()).cast(pa.string())], ["node", "line_text"])
+                some = np.flatnonzero((shared.value[at // 64] >> (at % 64)) & 1)
+                if len(some):
+                    text = pa.array([lines[i] for i in some.tolist()], pa.binary()).cast(pa.string())
+                    yield pa.RecordBatch.from_arrays([pa.array(node[some]), text], ["node", "line_text"])
 
     sent = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "node long, line_text string")
     return stored(sent.groupBy("node").agg(F.min("line_text").alias("line_text")).join(wanted, "node", "left_semi"), "line-texts")
@@ -297,13 +321,39 @@ def verified(text: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = (batch.column(i).to_pylist() for i in (2, 3))
-            near = [distance_within(x, y, int((1 - threshold) * max(len(x), len(y)) + 1e-9)) for x, y in zip(left, right)]
-            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+            for part in slices(batch, "x", 1 << 19):
+                left, right = part.column(2).to_pylist(), part.column(3).to_pylist()
+                most = np.array([int((1 - threshold) * max(len(x), len(y)) + 1e-9) for x, y in zip(left, right)])
+                near = grams_apart(part.column(2), part.column(3)) <= 3 * most
+                for k in np.flatnonzero(near).tolist():
+                    near[k] = distance_within(left[k], right[k], int(most[k]))
+                yield part.select(["a", "b"]).filter(pa.array(near))
 
     return stored(met.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "links")
 
 
+def grams_apart(left: pa.Array, right: pa.Array) -> np.ndarray:
+    """For each pair of texts how many runs of three bytes one has more than the other, at least; an edit changes three characters' runs.
+
+    Only ASCII and lead bytes are taken, one for each character. Runs are counted in 1024 classes, which can only bring texts nearer.
+    """
+    counts = []
+    for column in (left, right):
+        data, offsets = text_bytes(column)
+        lead = (data & 0xC0) != 0x80
+        begin = np.concatenate([[0], np.cumsum(lead)])[offsets]
+        code = data[lead].astype(np.uint32)
+        owner = np.repeat(np.arange(len(column)), np.diff(begin))
+        if len(code) < 3:
+            counts.append(np.zeros((len(column), 1024), np.int32))
+            continue
+        gram = ((code[:-2] * np.uint32(0x9E3779B1) + code[1:-1] * np.uint32(0x85EBCA77) + code[2:] * np.uint32(0xC2B2AE3D)) * np.uint32(0x27D4EB2F)) >> np.uint32(22)
+        inside = owner[:-2] == owner[2:]
+        counts.append(np.bincount(owner[:-2][inside] * 1024 + gram[inside], minlength=len(column) * 1024).astype(np.int32).reshape(-1, 1024))
+    more = counts[0] - counts[1]
+    return np.maximum(np.maximum(more, 0).sum(1), np.maximum(-more, 0).sum(1))
+
+
 def letter_counts(text: DataFrame) -> DataFrame:
     """(node, feature): the length of each line and how many of its characters fall into each of 28 classes, at most 65535."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,23 +369,50 @@ def letter_counts(text: DataFrame) -> DataFrame:
     return text.mapInArrow(run, "node long, feature binary")
 
 
-def near_by_letters(threshold: float):
-    """Pairs that can reach the threshold: an edit changes the length by one at most, and takes and gives one letter at most."""
-    def near(x: list[bytes], y: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        sizes, counts = zip(*((np.array([np.frombuffer(f, np.uint32, 1)[0] for f in side], np.int64),
-                               np.array([np.frombuffer(f, np.uint16, offset=4) for f in side], np.int32).reshape(-1, 28)) for side in (x, y)))
-        longer = np.maximum(sizes[0][:, None], sizes[1][None])
-        i, j = np.nonzero(longer - np.minimum(sizes[0][:, None], sizes[1][None]) <= (1 - threshold) * longer + 1e-6)
-        keep = []
-        for a in range(0, len(i), 1 << 16):
-            p, q = i[a:a + (1 << 16)], j[a:a + (1 << 16)]
-            more = counts[0][p] - counts[1][q]
-            edits = np.maximum(np.maximum(more, 0).sum(1), np.maximum(-more, 0).sum(1))
-            keep.append(edits <= (1 - threshold) * longer[p, q] + 1e-6)
-        keep = np.concatenate(keep) if keep else np.zeros(0, bool)
-        return i[keep], j[keep]
+def open_line_pairs(rows: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): nodes of a bucket in different components that can reach the threshold by their ``feature``; a > b.
+
+    ``rows`` (key, blocks, node, component, feature). An edit changes a line's length by one at most, and takes and gives one letter at most. A
+    bucket's first node has been compared with all of it. Buckets of one block are read in a stream, all pairs at the same distance
+    in the order at once; nodes of larger ones are dealt to pairs of blocks, each of which is such a bucket again.
+    """
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    group = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
 
-    return near
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = None
+        for batch in batches:
+            columns = [c.to_numpy() for c in batch.columns[:3]]
+            raw = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, 60)
+            columns += [np.ascontiguousarray(raw[:, :4]).view(np.uint32)[:, 0].astype(np.int64), np.ascontiguousarray(raw[:, 4:]).view(np.uint16).astype(np.int32)]
+            if left is not None:
+                columns = [np.concatenate(x) for x in zip(left, columns)]
+            group, node, component, size, letters = columns
+            fresh = len(left[0]) if left is not None else 0
+            at, step, found = np.flatnonzero(group[1:] == group[:-1]), 1, []
+            while len(at):
+                # Pairs that lie wholly in what was left have been given.
+                some = at[(at + step >= fresh) & (component[at] != component[at + step])]
+                longer = np.maximum(size[some], size[some + step])
+                some = some[longer - np.minimum(size[some], size[some + step]) <= (1 - threshold) * longer + 1e-6]
+                for c in range(0, len(some), 1 << 15):
+                    i = some[c:c + (1 << 15)]
+                    more = letters[i] - letters[i + step]
+                    edits = np.maximum(np.maximum(more, 0).sum(1), np.maximum(-more, 0).sum(1))
+                    found.append(i[edits <= (1 - threshold) * np.maximum(size[i], size[i + step]) + 1e-6])
+                    found[-1] = np.stack([node[found[-1]], node[found[-1] + step]])
+                step += 1
+                at = at[at + step < len(group)]
+                at = at[group[at] == group[at + step]]
+            # The last bucket may go on in the next batch.
+            last = np.searchsorted(np.flip(group) != group[-1], True) if len(group) else 0
+            left = [x[len(group) - last:] for x in columns]
+            pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs.max(0)), pa.array(pairs.min(0))], ["a", "b"])
+
+    stream = dealt.select(group.alias("group"), "node", "component", "feature").repartition("group").sortWithinPartitions("group", "node")
+    return stream.mapInArrow(run, "a long, b long").distinct()
 
 
 def shared_blocks(nodes: DataFrame) -> DataFrame:
@@ -353,9 +430,11 @@ def _kept_places(known: DataFrame, threshold: float, id_col: str, text_col: str)
         star = stored(members.where("node > low").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct(), "pairs")
         links = verified(line_texts(known, star, text_col), star, threshold)
         first = stored(links, "links", keep=True)
-    rows = stored(open_members(members.select("key", "node").distinct(), components(first)), "open")
+    # Of two nodes the first has been compared with the other.
+    rows = stored(open_members(members.select("key", "node").distinct(), components(first), least=3), "open")
     text = line_texts(known, rows.select(F.col("node").alias("a"), F.col("node").alias("b")), text_col)
-    more = stored(open_pairs(rows, stored(letter_counts(text), "features"), near_by_letters(threshold)), "pairs")
+    more = open_line_pairs(rows.join(letter_counts(text), "node"), threshold)
+    more = stored(more.join(members.select(F.col("node").alias("a"), F.col("low").alias("b")).distinct(), ["a", "b"], "left_anti"), "pairs")
     groups = components(first.unionByName(verified(text, more, threshold))).withColumnRenamed("node", "h1")
     linked = nodes.join(groups, "h1").groupBy("component").agg(F.min("first").alias("first"))
     kept = nodes.join(groups, "h1", "left_anti").select("first").union(linked.select("first"))

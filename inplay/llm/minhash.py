@@ -157,13 +157,13 @@ def central_pairs(members: DataFrame) -> DataFrame:
     return members.join(centre, "key").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
 
 
-def open_members(members: DataFrame, groups: DataFrame) -> DataFrame:
-    """(key, blocks, node, component) of the buckets that hold several components; buckets with the same nodes count once."""
+def open_members(members: DataFrame, groups: DataFrame, least: int = 2) -> DataFrame:
+    """(key, blocks, node, component) of the buckets of ``least`` nodes that hold several components; buckets with the same nodes count once."""
     # A node without links is its own component.
     named = members.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     buckets = named.groupBy("key").agg(
         F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("s"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("x"),
-        F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+        F.min("component").alias("low"), F.max("component").alias("high")).where((F.col("low") < F.col("high")) & (F.col("n") >= least))
     buckets = buckets.groupBy("n", "s", "x").agg(F.min("key").alias("key"))
     return named.join(buckets.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "key").select("key", "blocks", "node", "component")
 

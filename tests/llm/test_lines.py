@@ -154,14 +154,27 @@ def test_majority_counts_distinct_features():
         assert got == sum(1 << b for b in range(32) if bits[b])
 
 
-def test_pairs_that_letters_let_pass():
+def test_filters_let_near_pairs_pass(spark):
     rng = random.Random(6)
-    text = ["".join(rng.choice("abcdé ") for _ in range(rng.randrange(1, 30))) for _ in range(60)]
+    text = ["".join(rng.choice("abcdé ") for _ in range(rng.randrange(1, 30))) for _ in range(50)]
     text += [t[:k] + t[k + 1:] for t in text for k in (0, len(t) // 2)]
     text = [t for t in text if t]
-    feature = [np.uint32(len(t)).tobytes() + np.bincount([ord(c) % 28 for c in t], minlength=28).astype(np.uint16).tobytes() for t in text]
-    got = set(zip(*(x.tolist() for x in lines.near_by_letters(0.8)(feature, feature))))
-    assert {(i, j) for i, a in enumerate(text) for j, b in enumerate(text) if near(a, b)} <= got and len(got) < len(text) ** 2 / 2
+    want = {(i, j) for i, a in enumerate(text) for j, b in enumerate(text) if j < i and near(a, b)}
+    pairs = [(i, j) for i in range(len(text)) for j in range(i)]
+    apart = lines.grams_apart(pa.array([text[i] for i, _ in pairs]), pa.array([text[j] for _, j in pairs]))
+    longer = np.array([max(len(text[i]), len(text[j])) for i, j in pairs])
+    passed = {p for p, ok in zip(pairs, apart <= 3 * (0.2 * longer + 1e-9).astype(int)) if ok}
+    assert want <= passed and len(passed) < len(pairs) / 2
+    # Buckets in blocks or whole, every node a component of its own; one batch after the other.
+    feature = lines.letter_counts(spark.createDataFrame(list(enumerate(text)), "node long, line_text string"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        for blocks in (1, 3):
+            rows = feature.selectExpr("5L AS key", f"{blocks} AS blocks", "node", "node AS component", "feature")
+            got = {tuple(r) for r in lines.open_line_pairs(rows, 0.8).collect()}
+            assert want <= got and len(got) < len(pairs) / 2
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
 def test_lines_odd(spark, odd):
