@@ -7,8 +7,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from datetime import date
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from inplay.functions import count_where
 from inplay.schema import DATE_COLUMN, EXTRACT_REQUIRED, KEY_COLUMN, LABEL_COLUMN, NON_FEATURES
@@ -129,3 +131,105 @@ def same_rows(left: DataFrame, right: DataFrame, key: str = KEY_COLUMN) -> DataF
     sides = (left.select(key, F.lit(1).alias("n")).unionByName(right.select(key, F.lit(-1).alias("n")))
                  .groupBy(key).agg(F.sum("n").alias("n")))
     return validate(sides, [Expectation("same_rows", count_where(F.col("n") != 0))])
+
+
+# ---- schema expectations as rows
+
+SCHEMA_TABLE = T.StructType([
+    T.StructField("position", T.IntegerType(), False), T.StructField("column", T.StringType(), False),
+    T.StructField("type", T.StringType(), False), T.StructField("kind", T.StringType(), False)])
+
+
+def _kind(data_type: T.DataType) -> str:
+    return "numeric" if isinstance(data_type, T.NumericType) else simple if (simple := data_type.simpleString()) in ("boolean", "string", "date") else "other"
+
+
+def schema_table(df: DataFrame) -> DataFrame:
+    """(position, column, type, kind) of a frame's columns; no job runs on its rows."""
+    rows = [(i, f.name, f.dataType.simpleString(), _kind(f.dataType)) for i, f in enumerate(df.schema.fields)]
+    return df.sparkSession.createDataFrame(rows, SCHEMA_TABLE)
+
+
+def names_table(spark: SparkSession, names: Iterable[str]) -> DataFrame:
+    """(position, column) of a list of names."""
+    return spark.createDataFrame([(i, n) for i, n in enumerate(names)], "position int, column string")
+
+
+def _failing(name: str, broken: DataFrame) -> DataFrame:
+    """One row of a check: it passes if ``broken`` (column) has no rows, and else lists them in order."""
+    listed = broken.agg(F.array_join(F.sort_array(F.collect_list("column")), ", ").alias("detail"))
+    return listed.select(F.lit(name).alias("check"), (F.col("detail") == "").alias("passed"), "detail")
+
+
+def same_order(actual: DataFrame, expected: DataFrame) -> DataFrame:
+    """Exact names in exact order: positions that one side lacks or names otherwise."""
+    a, e = actual.select("position", F.col("column").alias("found")), expected.select("position", F.col("column").alias("wanted"))
+    broken = a.join(e, "position", "full").where(~F.col("found").eqNullSafe(F.col("wanted")))
+    return _failing("column_order", broken.select(F.coalesce("wanted", "found").alias("column")))
+
+
+def has_columns(actual: DataFrame, required: DataFrame) -> DataFrame:
+    """Required names that the frame lacks: an anti join."""
+    return _failing("required_columns", required.join(actual, "column", "left_anti"))
+
+
+def without_columns(features: DataFrame, forbidden: DataFrame) -> DataFrame:
+    """Features that must not be such: a semi join."""
+    return _failing("no_leakage", features.join(forbidden, "column", "left_semi"))
+
+
+def same_columns(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Names or types that only one of two frames has."""
+    both = lambda x, y: x.join(y, ["column", "type"], "left_anti").select("column")
+    return _failing("same_features", both(left, right).union(both(right, left)).distinct())
+
+
+def has_kind(actual: DataFrame, wanted: DataFrame, kind: str, holds: bool = True) -> DataFrame:
+    """Of the ``wanted`` names those whose kind is another (or, with ``holds`` false, is this one)."""
+    wrong = (F.col("kind") != kind) if holds else (F.col("kind") == kind)
+    return _failing(f"{'' if holds else 'not_'}{kind}", actual.where(wrong).join(wanted.select("column"), "column", "left_semi"))
+
+
+def has_reference(categorical: DataFrame, references: DataFrame) -> DataFrame:
+    """Categorical names without a reference level."""
+    return _failing("reference_levels", categorical.join(references, "column", "left_anti"))
+
+
+def ordered_windows(spark: SparkSession, window: Sequence[date]) -> DataFrame:
+    """Training ends on or after its begin, and the test begins after that."""
+    days = spark.createDataFrame([tuple(window)], "train_start date, train_end date, test_start date")
+    wrong = F.array_compact(F.array(F.when(F.col("train_end") < F.col("train_start"), "train_end"), F.when(F.col("test_start") <= F.col("train_end"), "test_start")))
+    return _failing("window_order", days.select(F.explode(wrong).alias("column")))
+
+
+def rows_match(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """As many labels as feature rows: rows without a label are listed by their number."""
+    counted = df.select(*features, label).agg(F.count("*").alias("rows"), F.count(label).alias("labels"))
+    broken = counted.where("rows <> labels").select(F.concat(F.lit(label), F.lit(" "), (F.col("rows") - F.col("labels")).cast("string")).alias("column"))
+    return _failing("label_rows", broken)
+
+
+def schema_report(
+    train: DataFrame, test: DataFrame, columns: Sequence[str], numeric: Sequence[str], categorical: Sequence[str],
+    references: Iterable[str], window: Sequence[date], label: str = LABEL_COLUMN, required: Iterable[str] = EXTRACT_REQUIRED,
+    forbidden: Iterable[str] = NON_FEATURES, strict: bool = False,
+) -> DataFrame:
+    """All expectations on the schemas of two splits as rows ``(check, passed, detail)``; ``detail`` names what breaks one.
+
+    With ``strict`` a failure raises.
+    """
+    spark = train.sparkSession
+    features = names_table(spark, [*numeric, *categorical])
+    left, right = schema_table(train), schema_table(test)
+    kept = lambda side: side.join(features.select("column"), "column", "left_semi")
+    report = reduce(DataFrame.unionByName, [
+        same_order(left, names_table(spark, columns)), has_columns(left, names_table(spark, sorted(required))),
+        without_columns(features, names_table(spark, sorted(forbidden))), same_columns(kept(left), kept(right)),
+        has_kind(left, names_table(spark, numeric), "numeric"), has_kind(left, names_table(spark, categorical), "numeric", holds=False).withColumn("check", F.lit("categorical")),
+        has_reference(names_table(spark, categorical), names_table(spark, sorted(references))), ordered_windows(spark, window),
+        rows_match(train, [c for c in dict.fromkeys((*numeric, *categorical)) if c in train.columns and c != label], label)])
+    if strict:
+        failed = report.where("not passed").collect()  # one row for each check at most
+        if failed:
+            raise ExpectationError("; ".join(f"{r['check']}: {r['detail']}" for r in failed))
+    return report

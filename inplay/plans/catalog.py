@@ -4,16 +4,17 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from inplay.functions import display_name, hit_label, label_text, season, threshold_label
-from inplay.operators import checks, extract, features, ingest, metrics, profile, quality, split
+from inplay.operators import checks, extract, features, ingest, intervals, metrics, profile, quality, split
 from inplay.operators.model import coefficient_impact, coefficients, score_by_transform
 from inplay.plans import experiments
 from inplay.plans.load import publish_range, rows_to_load
 from inplay.schema import (
-    CATEGORICAL, CONTACT_NUMERIC, DATE_COLUMN, KEY_COLUMN, LABEL_COLUMN, MODEL_B_FEATURES, SAMPLE_SEED,
+    CATEGORICAL, CONTACT_NUMERIC, DATE_COLUMN, EXTRACT_COLUMNS, KEY_COLUMN, LABEL_COLUMN, MODEL_B_FEATURES, REFERENCE_LEVELS, SAMPLE_SEED,
     SWING_NUMERIC, TRACKING_WINDOW,
 )
 from inplay.sources import sample_feed
@@ -296,6 +297,28 @@ def season_semi_join(spark, sf):
         DATE_COLUMN, "events", LABEL_COLUMN, "bb_type", "launch_speed", "launch_angle", "hc_x", "hc_y")
 
 
+@register
+def interval_semi_join(spark, sf):
+    """Events that fall into a span that begins with an error: up to four minutes long, and a day long for some users."""
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    spans = events.where("event_type = 'error'").selectExpr(
+        "ts AS span_start", "ts + make_dt_interval(CASE WHEN user_id % 50 = 0 THEN 1 ELSE 0 END, 0, 0, event_id * 37 % 240) AS span_end")
+    return intervals.interval_semi_join(events, "ts", spans, "span_start", "span_end").select("event_id", "user_id", "event_type")
+
+
+@register
+def validate_schema(spark, sf):
+    """Schema expectations on the splits of the tracking window, and on splits that break each of them."""
+    tagged = split.with_split(_extract(spark, sf), TRACKING_WINDOW)
+    train, test = (tagged.where(F.col("split") == s).drop("split") for s in ("train", "test"))
+    window = [date.fromisoformat(d) for d in (TRACKING_WINDOW.train_start, TRACKING_WINDOW.train_end, TRACKING_WINDOW.test_start)]
+    good = checks.schema_report(train, test, EXTRACT_COLUMNS, NUMERIC_B, CATEGORICAL, REFERENCE_LEVELS, window)
+    broken = train.drop("stand").withColumn("bat_speed", F.col("bat_speed").cast("string")).withColumn(
+        LABEL_COLUMN, F.when(F.col("launch_angle") != 0, F.col(LABEL_COLUMN)))
+    bad = checks.schema_report(broken, test, EXTRACT_COLUMNS, [*NUMERIC_B, "p_throws"], ["bb_type", "stand", LABEL_COLUMN, "launch_speed"], ["bb_type", "stand"], window[::-1])
+    return good.withColumn("case", F.lit("as it is")).unionByName(bad.withColumn("case", F.lit("broken")))
+
+
 @register
 def extract_check(spark, sf):
     """Rows and dates of the filtered table against those of the view, from one scan each."""

@@ -83,6 +83,16 @@ _REPORT = (
     f"INTERVAL 1 DAY) t(d)) LEFT JOIN (SELECT game_date, count(*) AS n FROM {_CLEAN_RANGE} GROUP BY 1) "
     "USING (game_date)")
 
+def _schema_cases() -> str:
+    """What each expectation must say of the splits as they are, and of those that break it; the rows without a label are counted."""
+    names = ["column_order", "required_columns", "no_leakage", "same_features", "numeric", "categorical", "reference_levels", "window_order"]
+    shifted = ", ".join(sorted(EXTRACT_COLUMNS[EXTRACT_COLUMNS.index("stand"):]))
+    broken = [shifted, "stand", "is_hit", "bat_speed, stand", "bat_speed, p_throws", "launch_speed", "is_hit, launch_speed", "test_start, train_end"]
+    rows = [f"('as it is', '{n}', true, '')" for n in [*names, "label_rows"]] + [f"('broken', '{n}', false, '{d}')" for n, d in zip(names, broken)]
+    return (f"SELECT * FROM (VALUES {', '.join(rows)}) t(\"case\", \"check\", passed, detail) UNION ALL "
+            "SELECT 'broken', 'label_rows', false, 'is_hit ' || count(*) FROM tagged WHERE split = 'train' AND launch_angle = 0")
+
+
 # ---- features
 
 _TRACK = _tagged(TRACKING_WINDOW)
@@ -363,6 +373,11 @@ def oracle_sql() -> dict[str, str]:
         "mode_impute": _with(
             "SELECT split, " + ", ".join(f"coalesce({c}, {_mode(c)}) AS {c}" for c in ("bb_type", "events", "stand"))
             + ", count(*) AS observations FROM tagged GROUP BY ALL", _tagged(BASELINE_WINDOW, "pitches")),
+        "validate_schema": _with(_schema_cases(), track),
+        "interval_semi_join": (
+            "SELECT event_id, user_id, event_type FROM events e WHERE EXISTS (SELECT 1 FROM (SELECT ts AS a, "
+            "ts + to_seconds(event_id * 37 % 240) + to_days(CASE WHEN user_id % 50 = 0 THEN 1 ELSE 0 END) AS b "
+            "FROM events WHERE event_type = 'error') WHERE e.ts BETWEEN a AND b)"),
         "one_hot": _with(f"SELECT batted_ball_id, split, {_INDICATORS} FROM tagged", track),
         "feature_display_names": _with(f"SELECT feature, {_NAMES} AS predictor FROM features", track, _FEATURES),
         "threshold_predict": _with(
