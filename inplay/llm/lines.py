@@ -33,7 +33,7 @@ from inplay.llm.components import components
 from inplay.llm.minhash import open_members
 
 #: Words from which on a line takes the next number of blocks; the numbers are powers of two from ``BLOCKS`` on.
-LEVELS = (11, 32, 80)
+LEVELS = (11, 48, 140)
 BLOCKS = 4
 #: Lines of at most so many words are cut by their bytes; those around this number both ways.
 FEW_WORDS = 8
@@ -315,8 +315,9 @@ def line_texts(docs: DataFrame, pairs: DataFrame, text_col: str) -> DataFrame:
 
 def verified(text: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) whose lines in ``text`` have an edit similarity of ``threshold``: 1 - distance / longer length."""
-    met = (pairs.join(text.select(F.col("node").alias("a"), F.col("line_text").alias("x")), "a")
-           .join(text.select(F.col("node").alias("b"), F.col("line_text").alias("y")), "b")
+    # A bucket's first node is b in many pairs, so the pairs are dealt by a in the end, where the work is.
+    met = (pairs.join(text.select(F.col("node").alias("b"), F.col("line_text").alias("y")), "b")
+           .join(text.select(F.col("node").alias("a"), F.col("line_text").alias("x")), "a")
            .where(F.least(F.char_length("x"), F.char_length("y")) >= threshold * F.greatest(F.char_length("x"), F.char_length("y")) - 1e-6))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
