@@ -179,3 +179,9 @@ def rolled(h: np.ndarray, width: int) -> np.ndarray:
 
 def _power(n: int) -> np.uint64:
     return np.uint64(pow(int(_BASE), n, 1 << 64))
+
+
+def sql_crc32(numbers: str) -> str:
+    """SQL for the unsigned CRC-32 of a list of byte values, for checking: bit by bit, as the polynomial has it."""
+    return (f"xor(list_reduce({numbers}, lambda c, x: list_reduce(range(8), lambda d, i: CASE WHEN d & 1 = 1 THEN xor(3988292384, d >> 1) "
+            "ELSE d >> 1 END, xor(c, x)), CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT))")

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from inplay.llm.common import mix, scratch, slices, stored
+from inplay.llm.common import mix, scratch, slices, sql_crc32, stored
 
 #: Parts the letters are dealt into; a signature leaves out two of them.
 PARTS = 4
@@ -171,3 +171,22 @@ def _variants(words: DataFrame, ratio: int) -> DataFrame:
         further = roots.select(F.col("word").alias("root"), F.col("root").alias("next"))
         roots = stored(roots.join(further, "root", "left").select("word", F.coalesce("next", "root").alias("root")), "roots")
     return found.join(roots, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+
+
+def oracle() -> str:
+    """SQL for the variants of the words of ``documents``: near words by the text that is left without one letter."""
+    crc = sql_crc32("list_transform(range(1, strlen(x), 2), lambda i: CAST(16 * (strpos('0123456789ABCDEF', x[i]) - 1) + strpos('0123456789ABCDEF', x[i + 1]) - 1 AS BIGINT))")
+    return f"""
+    WITH RECURSIVE occurrences AS (SELECT doc_id, w, count(*) AS n FROM (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\\x{{C0}}-\\x{{FF}}]{{7,}}')),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents) GROUP BY ALL),
+    digits AS (SELECT *, hex(encode(doc_id || ':' || w)) AS x FROM occurrences),
+    coded AS (SELECT w, n, {crc} AS h FROM digits),
+    words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (SELECT CASE WHEN h % 31 = 0 THEN w[:h % length(w)] || w[h % length(w) + 2:] ELSE w END AS word, n FROM coded) WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+    gaps AS (SELECT word, n, i, word[:i - 1] || word[i + 1:] AS short FROM words, unnest(range(1, length(word) + 1)) t(i)),
+    pairs AS (SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM gaps a JOIN gaps b ON a.i = b.i AND a.short = b.short AND a.word <> b.word
+      UNION SELECT g.word, g.n, s.word, s.n FROM gaps g JOIN words s ON g.short = s.word
+      UNION SELECT s.word, s.n, g.word, g.n FROM gaps g JOIN words s ON g.short = s.word),
+    best AS (SELECT word, count(*) AS n_near, arg_min({{'near': near, 'near_n': near_n}}, {{'a': -near_n, 'b': encode(near)}}) AS b FROM pairs GROUP BY word),
+    forms AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN b.near_n >= 10 * w.n THEN b.near END AS form, CASE WHEN b.near_n >= 10 * w.n THEN b.near_n END AS form_n FROM words w LEFT JOIN best USING (word)),
+    roots AS (SELECT word, word AS root, 0 AS steps FROM forms UNION ALL SELECT r.word, f.form, steps + 1 FROM roots r JOIN forms f ON f.word = r.root WHERE f.form IS NOT NULL)
+    SELECT word, form, (SELECT arg_max(root, steps) FROM roots r WHERE r.word = f.word) AS root, n, n_near, form_n FROM forms f"""

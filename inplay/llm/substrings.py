@@ -127,3 +127,15 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", te
         T.StructField("removed", T.ArrayType(T.StructType([T.StructField("begin", T.LongType()), T.StructField("end", T.LongType())]))),
         T.StructField("kept", T.StringType()), *carried(docs, carry)])
     return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(remove, schema).withColumnRenamed("id", id_col)
+
+
+def oracle() -> str:
+    """SQL for the digests of ``documents`` without repeated windows of 35 words: windows as texts, counted."""
+    return r"""
+    WITH rows AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words FROM documents),
+    windows AS (SELECT r, i, array_to_string(words[i:i + 34], ' ') AS w FROM rows, unnest(range(1, len(words) - 33)) t(i)),
+    hits AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY w) AS n FROM windows) WHERE n > 1),
+    gone AS (SELECT DISTINCT r, j FROM hits, unnest(range(i, i + 35)) t(j)),
+    places AS (SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS j FROM rows),
+    kept AS (SELECT p.r, count(g.j) AS n_removed, string_agg(word, ' ' ORDER BY p.j) FILTER (WHERE g.j IS NULL) AS kept FROM places p LEFT JOIN gone g ON g.r = p.r AND g.j = p.j GROUP BY p.r)
+    SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM rows LEFT JOIN kept USING (r)"""

@@ -23,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from inplay.llm.common import scratch, slices, stored
+from inplay.llm.common import scratch, slices, sql_crc32, stored
 from inplay.llm.listrank import ranked
 
 _P = (1 << 61) - 1
@@ -203,3 +203,28 @@ def _nodes(turns: DataFrame, convs: DataFrame) -> DataFrame:
     nothing = hashlib.sha256().hexdigest()
     return nodes.join(held, "node").join(ends, "node", "left").select(
         "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", F.coalesce("ends_sha256", F.lit(nothing)).alias("ends_sha256"))
+
+
+def oracle() -> str:
+    """SQL for the trie of the rebuilt ``conversations``: prefixes as texts, and each node's descendants through its members."""
+    crc = sql_crc32("list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))")
+    return f"""
+    WITH ids AS (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL),
+    known AS (SELECT conv_id, conv_id - conv_id % 5 AS base,
+      {crc} % 9 AS h FROM ids),
+    turns AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS place,
+      coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+    rebuilt AS (SELECT k.conv_id, 0 AS part, t.place, t.role, t.text FROM known k JOIN turns t ON t.conv_id = k.base AND t.place < k.h
+      UNION ALL SELECT k.conv_id, 1, t.place, t.role, t.text FROM known k JOIN turns t ON t.conv_id = k.conv_id AND t.place >= k.h),
+    steps AS (SELECT conv_id, row_number() OVER w AS depth, strlen(text) AS size,
+      string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER w AS prefix FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY part, place)),
+    members AS (SELECT conv_id, depth, size, sha256(prefix) AS node, coalesce(lag(sha256(prefix)) OVER (PARTITION BY conv_id ORDER BY depth), '') AS parent FROM steps
+      UNION ALL SELECT conv_id, 0, 0, '', NULL FROM ids),
+    nodes AS (SELECT depth, node, min(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(size) AS saved FROM members GROUP BY depth, node),
+    children AS (SELECT parent, depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+    grown AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children c ON c.parent = n.node AND c.depth = n.depth + 1),
+    held AS (SELECT m.depth, m.node, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved) AS saved_tokens FROM grown g JOIN members m ON m.conv_id = g.conv_id AND m.depth <= g.depth GROUP BY ALL),
+    ends AS (SELECT depth, node, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends_sha256
+      FROM (SELECT * FROM members QUALIFY depth = max(depth) OVER (PARTITION BY conv_id)) GROUP BY ALL)
+    SELECT g.conv_id, g.depth, p.conv_id AS parent_conv_id, g.n_convs, g.n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, coalesce(ends_sha256, sha256('')) AS ends_sha256
+    FROM grown g JOIN held h ON h.depth = g.depth AND h.node = g.node LEFT JOIN nodes p ON p.depth = g.depth - 1 AND p.node = g.parent LEFT JOIN ends e ON e.depth = g.depth AND e.node = g.node"""
