@@ -35,7 +35,7 @@ RULES = {
 
 def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", window: int = 8) -> DataFrame:
     """(id, stratum, counts): counts of words, their code points, symbols, repeated lines, words in repeated windows and more."""
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias("stratum"),
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.concat(F.lit("="), F.col(stratum_col).cast("string")), F.lit("null")).alias("stratum"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("words", F.filter(F.split("text", _BLANK), lambda w: w != ""))
     rows = rows.withColumn("lines", F.filter(F.split("text", "\n"), lambda x: F.translate(x, _BLANKS, "") != ""))
@@ -134,3 +134,37 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # A text that passed the base rules has words, so nothing is divided by zero.
     kept = F.when(F.col("base_failed"), F.lit(False)).otherwise(~rejected)
     return out.select(F.col("id").alias(id_col), *(c for c in found.columns if c not in ("id", "stratum")), "base_failed", kept.alias("kept"))
+
+
+def oracle(risk: float = 0.05, delta: float = 0.05) -> str:
+    """SQL for the judged ``documents``: windows as texts, and binomial sums by the logarithms of factorials."""
+    levels = max(len(cuts) for _, cuts in RULES.values())
+    tests = {name: [f"{measure} > {c}" for c in cuts] for name, (measure, cuts) in RULES.items()}
+    joint = [" OR ".join(f"{t[min(k, len(t) - 1)]}" for t in tests.values()) for k in range(levels)]
+    tries = [(name, k, test) for name, rows in {**tests, "all": joint}.items() for k, test in enumerate(rows)]
+    half = 0.5 / len(RULES)
+    own = {name: f"CASE WHEN held['{name}'] > 0 THEN {cuts}[least(held['{name}'], {len(cuts)})] END" for name, (_, cuts) in RULES.items()}
+    both = {name: f"CASE WHEN held['all'] > 0 THEN {cuts}[least(held['all'], {len(cuts)})] END" for name, (_, cuts) in RULES.items()}
+    over = " OR ".join(f"coalesce({measure} > {name}, false)" for name, (measure, _) in RULES.items())
+    word = r"[^\x20\x09-\x0D]"
+    return f"""
+    WITH listed AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{word}+') AS words,
+      list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{word}')) AS lines FROM documents),
+    windows AS (SELECT r, i, array_to_string(words[i:i + 7], ' ') AS w FROM listed, unnest(range(1, len(words) - 6)) t(i)),
+    again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, w) AS n FROM windows) WHERE n > 1),
+    covered AS (SELECT r, count(DISTINCT j) AS n FROM again, unnest(range(i, i + 8)) t(j) GROUP BY r),
+    found AS (SELECT l.*, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars, length(text) - length(translate(text, '#*$%&|<>', '')) AS n_symbols,
+      len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words, len(lines) AS n_lines, length(text) - length(translate(text, '!?', '')) AS n_shouts,
+      length(text) - length(regexp_replace(text, '\\p{{Lu}}+', '', 'g')) AS n_capitals, len(list_filter(words, lambda x: NOT regexp_matches(x, '\\p{{L}}'))) AS n_wordless
+      FROM listed l LEFT JOIN covered c USING (r)),
+    based AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM found),
+    good AS (SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1),
+    counts AS (SELECT lang, count(*) AS n, [{', '.join(f"count(*) FILTER (WHERE {t})" for *_, t in tries)}] AS rejected FROM based JOIN good USING (doc_id) WHERE NOT base_failed GROUP BY lang),
+    tried AS (SELECT lang, n, [{', '.join(f"'{name}'" for name, *_ in tries)}][i] AS rule, [{', '.join(str(k) for _, k, _ in tries)}][i] AS k, rejected[i] AS x,
+      CASE WHEN i > {len(tries) - levels} THEN 0.5e0 ELSE {half!r} END AS part, (SELECT count(*) FROM counts) AS strata FROM counts, unnest(range(1, {len(tries) + 1})) t(i)),
+    tested AS (SELECT lang, rule, k, x < n * {risk} * part AND list_sum(list_transform(range(0, x + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
+      + i * ln({risk} * part) + (n - i) * ln(1 - {risk} * part)))) <= {delta} * part / strata AS ok FROM tried),
+    held AS (SELECT lang, map_from_entries(list((rule, h))) AS held FROM (SELECT lang, rule, coalesce(min(k) FILTER (WHERE NOT ok), {levels}) AS h FROM tested GROUP BY ALL) GROUP BY lang),
+    cuts AS (SELECT lang AS stratum, {', '.join(f"list_min([{own[name]}, {both[name]}]) AS {name}" for name in RULES)} FROM held)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed, NOT base_failed AND NOT ({over}) AS kept
+    FROM based LEFT JOIN cuts ON stratum IS NOT DISTINCT FROM lang"""

@@ -85,5 +85,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     """SQL for what another engine can compute; the others are tested against plain versions."""
     return {
-        "op3_substring_dedup": substrings.oracle(), "op4_license_scan": licenses.oracle(),
+        "op3_substring_dedup": substrings.oracle(), "op4_license_scan": licenses.oracle(), "op7_quality_rules": quality.oracle(),
         "op12_spelling_variants": spelling.oracle(), "op13_prefix_trie": trie.oracle()}
