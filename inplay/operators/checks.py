@@ -144,15 +144,23 @@ def _kind(data_type: T.DataType) -> str:
     return "numeric" if isinstance(data_type, T.NumericType) else simple if (simple := data_type.simpleString()) in ("boolean", "string", "date") else "other"
 
 
+def _literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
+    """A small frame of literals, which the JVM makes itself."""
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    entries = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)]) for row in rows]
+    return spark.range(1).select(F.explode(F.array(*entries)).alias("r")).select("r.*")
+
+
 def schema_table(df: DataFrame) -> DataFrame:
     """(position, column, type, kind) of a frame's columns; no job runs on its rows."""
     rows = [(i, f.name, f.dataType.simpleString(), _kind(f.dataType)) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(rows, SCHEMA_TABLE)
+    return _literal_rows(df.sparkSession, rows, SCHEMA_TABLE)
 
 
 def names_table(spark: SparkSession, names: Iterable[str]) -> DataFrame:
     """(position, column) of a list of names."""
-    return spark.createDataFrame([(i, n) for i, n in enumerate(names)], "position int, column string")
+    return _literal_rows(spark, list(enumerate(names)), T.StructType(SCHEMA_TABLE.fields[:2]))
 
 
 def _failing(name: str, broken: DataFrame) -> DataFrame:
@@ -197,7 +205,7 @@ def has_reference(categorical: DataFrame, references: DataFrame) -> DataFrame:
 
 def ordered_windows(spark: SparkSession, window: Sequence[date]) -> DataFrame:
     """Training ends on or after its begin, and the test begins after that."""
-    days = spark.createDataFrame([tuple(window)], "train_start date, train_end date, test_start date")
+    days = _literal_rows(spark, [tuple(window)], T.StructType([T.StructField(n, T.DateType()) for n in ("train_start", "train_end", "test_start")]))
     wrong = F.array_compact(F.array(F.when(F.col("train_end") < F.col("train_start"), "train_end"), F.when(F.col("test_start") <= F.col("train_end"), "test_start")))
     return _failing("window_order", days.select(F.explode(wrong).alias("column")))
 
