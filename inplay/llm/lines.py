@@ -8,7 +8,7 @@ there are fewer edits than blocks, and often one whose features differ little. L
 of blocks are cut in both ways. Blocks of very few features are no keys unless the line has none else.
 
 Nodes that share a block are compared with the bucket's first; then, only in buckets that still hold several components,
-nodes of different components, block by block, as in ``minhash``. A pair is linked if the edit similarity of its lines,
+nodes of different components, block by block, until no two components are left that near lines connect. A pair is linked if the edit similarity of its lines,
 1 - distance / longer length in code points, is at least ``threshold``. Of the lines of a connected group the first, by
 id and place, stays.
 
@@ -355,64 +355,73 @@ def grams_apart(left: pa.Array, right: pa.Array) -> np.ndarray:
     return np.maximum(np.maximum(more, 0).sum(1), np.maximum(-more, 0).sum(1))
 
 
-def letter_counts(text: DataFrame) -> DataFrame:
-    """(node, feature): the length of each line and how many of its characters fall into each of 28 classes, at most 65535."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "line_text", 2 << 20):
-                out = []
-                for line in part.column(1).to_pylist():
-                    code = np.frombuffer(line.encode("utf-32-le"), np.uint32)
-                    counts = np.minimum(np.bincount(code % 28, minlength=28), 65535).astype(np.uint16)
-                    out.append(np.uint32(len(code)).tobytes() + counts.tobytes())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(out, pa.binary())], ["node", "feature"])
+def letter_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The length of each line, and how many of its characters fall into each of 28 classes."""
+    size = np.array([len(x) for x in texts])
+    code = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32) % 28
+    return size, np.bincount(np.repeat(np.arange(len(texts)), size) * 28 + code, minlength=28 * len(texts)).reshape(-1, 28).astype(np.int32)
 
-    return text.mapInArrow(run, "node long, feature binary")
 
+def links_between(component: np.ndarray, texts: list[str], threshold: float) -> list[tuple[int, int]]:
+    """Places (i, j) of near lines that connect all components which near lines connect; no more links than components.
 
-def open_line_pairs(rows: DataFrame, threshold: float) -> DataFrame:
-    """(a, b): nodes of a bucket in different components that can reach the threshold by their ``feature``; a > b.
-
-    ``rows`` (key, blocks, node, component, feature). An edit changes a line's length by one at most, and takes and gives one letter at most. A
-    bucket's first node has been compared with all of it. Buckets of one block are read in a stream, all pairs at the same distance
-    in the order at once; nodes of larger ones are dealt to pairs of blocks, each of which is such a bucket again.
+    Lines of components that a link has joined are not compared again. An edit changes a line's length by one at most, and
+    takes and gives one letter at most, which refuses most of the others.
+    """
+    size, letters = letter_counts(texts)
+    own, links = component.copy(), []
+    for i in range(len(texts)):
+        after = np.arange(i + 1, len(texts))
+        after = after[own[after] != own[i]]
+        longer = np.maximum(size[after], size[i])
+        most = ((1 - threshold) * longer + 1e-9).astype(np.int64)
+        more = letters[after] - letters[i]
+        close = np.maximum(np.maximum(more, 0).sum(1), np.maximum(-more, 0).sum(1)) <= most
+        grams = None
+        for j, k in zip(after[close].tolist(), most[close].tolist()):
+            if own[j] == own[i]:
+                continue
+            if grams is None:
+                grams = Counter(zip(texts[i], texts[i][1:], texts[i][2:]))
+            # An edit changes three runs of three characters at most.
+            if max(size[i], size[j]) - 2 - (grams & Counter(zip(texts[j], texts[j][1:], texts[j][2:]))).total() <= 3 * k and distance_within(texts[i], texts[j], k):
+                links.append((i, j))
+                own[own == own[j]] = own[i]
+    return links
+
+
+def open_links(rows: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): links that join the components which near lines of a bucket connect. ``rows`` (key, blocks, node, component, line_text).
+
+    Buckets of one block are read in a stream, one at a time; nodes of larger ones are dealt to pairs of blocks, each of
+    which is such a bucket again, so a task holds two blocks at most.
     """
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     group = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left = None
+        held: list = [None, [], [], []]
+
+        def finish() -> list[tuple[int, int]]:
+            node, component, texts = held[1:]
+            return [(max(node[i], node[j]), min(node[i], node[j])) for i, j in links_between(np.array(component), texts, threshold)] if len(node) > 1 else []
+
+        def sent(found: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
         for batch in batches:
-            columns = [c.to_numpy() for c in batch.columns[:3]]
-            raw = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, 60)
-            columns += [np.ascontiguousarray(raw[:, :4]).view(np.uint32)[:, 0].astype(np.int64), np.ascontiguousarray(raw[:, 4:]).view(np.uint16).astype(np.int32)]
-            if left is not None:
-                columns = [np.concatenate(x) for x in zip(left, columns)]
-            group, node, component, size, letters = columns
-            fresh = len(left[0]) if left is not None else 0
-            at, step, found = np.flatnonzero(group[1:] == group[:-1]), 1, []
-            while len(at):
-                # Pairs that lie wholly in what was left have been given.
-                some = at[(at + step >= fresh) & (component[at] != component[at + step])]
-                longer = np.maximum(size[some], size[some + step])
-                some = some[longer - np.minimum(size[some], size[some + step]) <= (1 - threshold) * longer + 1e-6]
-                for c in range(0, len(some), 1 << 15):
-                    i = some[c:c + (1 << 15)]
-                    more = letters[i] - letters[i + step]
-                    edits = np.maximum(np.maximum(more, 0).sum(1), np.maximum(-more, 0).sum(1))
-                    found.append(i[edits <= (1 - threshold) * np.maximum(size[i], size[i + step]) + 1e-6])
-                    found[-1] = np.stack([node[found[-1]], node[found[-1] + step]])
-                step += 1
-                at = at[at + step < len(group)]
-                at = at[group[at] == group[at + step]]
-            # The last bucket may go on in the next batch.
-            last = np.searchsorted(np.flip(group) != group[-1], True) if len(group) else 0
-            left = [x[len(group) - last:] for x in columns]
-            pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs.max(0)), pa.array(pairs.min(0))], ["a", "b"])
-
-    stream = dealt.select(group.alias("group"), "node", "component", "feature").repartition("group").sortWithinPartitions("group", "node")
+            found = []
+            for group, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if group != held[0]:
+                    found += finish()
+                    held[:] = [group, [], [], []]
+                for values, value in zip(held[1:], row):
+                    values.append(value)
+            yield sent(found)
+        yield sent(finish())
+
+    stream = dealt.select(group.alias("group"), "node", "component", "line_text").repartition("group").sortWithinPartitions("group", "node")
     return stream.mapInArrow(run, "a long, b long").distinct()
 
 
@@ -434,9 +443,8 @@ def _kept_places(known: DataFrame, threshold: float, id_col: str, text_col: str)
     # Of two nodes the first has been compared with the other.
     rows = stored(open_members(members.select("key", "node").distinct(), components(first), least=3), "open")
     text = line_texts(known, rows.select(F.col("node").alias("a"), F.col("node").alias("b")), text_col)
-    more = open_line_pairs(rows.join(letter_counts(text), "node"), threshold)
-    more = stored(more.join(members.select(F.col("node").alias("a"), F.col("low").alias("b")).distinct(), ["a", "b"], "left_anti"), "pairs")
-    groups = components(first.unionByName(verified(text, more, threshold))).withColumnRenamed("node", "h1")
+    more = stored(open_links(rows.join(text, "node"), threshold), "links")
+    groups = components(first.unionByName(more)).withColumnRenamed("node", "h1")
     linked = nodes.join(groups, "h1").groupBy("component").agg(F.min("first").alias("first"))
     kept = nodes.join(groups, "h1", "left_anti").select("first").union(linked.select("first"))
     return kept.groupBy("first.id").agg(F.collect_list("first.line").alias("places"))

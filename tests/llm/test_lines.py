@@ -165,14 +165,14 @@ def test_filters_let_near_pairs_pass(spark):
     longer = np.array([max(len(text[i]), len(text[j])) for i, j in pairs])
     passed = {p for p, ok in zip(pairs, apart <= 3 * (0.2 * longer + 1e-9).astype(int)) if ok}
     assert want <= passed and len(passed) < len(pairs) / 2
-    # Buckets in blocks or whole, every node a component of its own; one batch after the other.
-    feature = lines.letter_counts(spark.createDataFrame(list(enumerate(text)), "node long, line_text string"))
+    # Buckets in blocks or whole, every node a component of its own; one batch after the other. No more links than nodes.
+    whole = classes(range(len(text)), want)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
     try:
         for blocks in (1, 3):
-            rows = feature.selectExpr("5L AS key", f"{blocks} AS blocks", "node", "node AS component", "feature")
-            got = {tuple(r) for r in lines.open_line_pairs(rows, 0.8).collect()}
-            assert want <= got and len(got) < len(pairs) / 2
+            rows = spark.createDataFrame([(5, blocks, i, i, t) for i, t in enumerate(text)], "key long, blocks int, node long, component long, line_text string")
+            got = {tuple(r) for r in lines.open_links(rows, 0.8).collect()}
+            assert got <= want and classes(range(len(text)), got) == whole and len(got) < len(text) * blocks
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
