@@ -1,15 +1,19 @@
-"""Semi join of points with intervals of any length, as a hash join.
+"""Semi join of points with intervals of any length and number, as a hash join.
 
-Intervals are cut into aligned pieces whose lengths are powers of ``2 ** RADIX_BITS``, as numbers are cut into digits: a long
-interval is a few large pieces and a few small ones at either end, and not a row for every unit it covers. Pieces lie in each
-other or apart, so pieces inside other pieces go and the rest cover each point once at most. A point looks up one
-key for each length that occurs. Sides of any size meet by equality; a hot stretch of time is split like any hot key.
+The line is cut into at most ``_CELLS`` + 1 cells at quantiles of the intervals' first points, and in each cell overlapping intervals
+become one. What a cell's intervals leave over for later cells is a single number, the farthest end before it, so
+every cell is merged on its own. A point looks up the one row of its cell and searches it by halves: rows that are
+shuffled are as many as there are points and intervals, however long the intervals are and however they overlap.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from itertools import accumulate
 
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+
+# Cells of the line; their ends are sent with the plan.
+_CELLS = 1000
 # Bits of a digit: 16 pieces of a length make one of the next.
 RADIX_BITS = 4
 _LEVELS = 64 // RADIX_BITS
@@ -28,14 +32,64 @@ def _place(column: Column, kind: T.DataType) -> Column:
     return column.cast("bigint")
 
 
+def _constant(numbers: list[int]) -> Column:
+    """An array of whole numbers as one literal; one for each number would take the planner seconds."""
+    return F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<bigint>")
+
+
+def _upto(values: Column, halves: Column, point: Column) -> Column:
+    """How many of the ascending ``values`` are not above ``point``; ``halves`` are falling powers of two, in all at least their number."""
+    return F.aggregate(halves, F.lit(0), lambda n, half: F.when(F.get(values, n + half - 1) <= point, n + half).otherwise(n))
+
+
+def _halves(number: Column) -> Column:
+    """Falling powers of two down to 1 that add up to ``number`` at least, whatever the rounding of the logarithm."""
+    return F.transform(F.sequence(F.floor(F.log2(number)).cast("int") + 1, F.lit(0), F.lit(-1)), lambda k: F.call_function("shiftleft", F.lit(1), k))
+
+
+def _cell(bounds: list[int], point: Column) -> Column:
+    """The cell of a point: the number of bounds that are not above it."""
+    steps = [1 << k for k in reversed(range(len(bounds).bit_length()))]
+    return _upto(_constant(bounds), F.lit(steps), point)
+
+
+def merged(intervals: DataFrame, first: str, last: str) -> tuple[list[int], DataFrame | None]:
+    """The ascending ends of the cells, and (cell, low, high): the intervals' union as runs [low, high) that lie in one cell and apart.
+
+    A null end, or a last point before the first, makes an interval empty; without any there is no table.
+    """
+    kind = intervals.schema[first].dataType
+    spans = intervals.select(_place(F.col(first), kind).alias("low"), (_place(F.col(last), kind) + 1).alias("high")).where("low < high")
+    bounds = sorted(set(spans.agg(F.percentile_approx("low", [k / _CELLS for k in range(_CELLS)], 10 * _CELLS)).first()[0] or []))
+    if not bounds:
+        return [], None
+    dealt = spans.groupBy("low").agg(F.max("high").alias("high")).withColumn("cell", _cell(bounds, F.col("low")))
+    # One row for each cell at most: what the cells before it reach, if that is inside it.
+    tops = dict(spans.groupBy(_cell(bounds, F.col("low")).alias("cell")).agg(F.max("high")).collect())
+    reach = list(accumulate((tops.get(k, -(1 << 63)) for k in range(len(bounds))), max))
+    at = F.col("id").cast("int")
+    carried = intervals.sparkSession.range(len(bounds)).select(
+        F.get(_constant(bounds), at).alias("low"), F.get(_constant(reach), at).alias("high"), (at + 1).alias("cell")).where("low < high")
+    ordered = Window.partitionBy("cell").orderBy("low")
+    before = F.max("high").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    marked = dealt.unionByName(carried).withColumn("begins", F.coalesce(F.col("low") > before, F.lit(True)).cast("bigint"))
+    runs = marked.withColumn("run", F.sum("begins").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    # A cell's last run ends where the next cell begins, which has the rest.
+    end = F.get(_constant(bounds), F.col("cell"))
+    found = runs.groupBy("cell", "run").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    return bounds, found.select("cell", "low", F.least("high", end).alias("high"))
+
+
 def pieces(intervals: DataFrame, first: str, last: str) -> DataFrame:
     """(level, piece): the aligned pieces that cover the intervals, both ends included; no piece lies in another.
 
-    A null end, or a last point before the first, makes an interval empty. An interval has at most
-    2 * (2 ** RADIX_BITS - 1) pieces of a level.
+    Lengths of pieces are powers of ``2 ** RADIX_BITS``, as numbers are cut into digits: a long interval is a few large pieces and
+    a few small ones at either end. A run of overlapping intervals has at most 2 * (2 ** RADIX_BITS - 1) pieces of a level.
     """
-    kind = intervals.schema[first].dataType
-    rest = intervals.select(_place(F.col(first), kind).alias("low"), (_place(F.col(last), kind) + 1).alias("high")).where("low < high").distinct()
+    _, rest = merged(intervals, first, last)
+    if rest is None:
+        return intervals.sparkSession.range(0).select(F.lit(0).alias("level"), F.col("id").alias("piece"))
+    rest = rest.select("low", "high")
     # [low, high) in units of a level: what does not fill pieces of the next level is cut off at either end.
     for level in range(_LEVELS):
         rest = rest.withColumns({"up_low": F.shiftright(F.col("low") + ((1 << RADIX_BITS) - 1), RADIX_BITS), "up_high": F.shiftright("high", RADIX_BITS)})
@@ -47,30 +101,18 @@ def pieces(intervals: DataFrame, first: str, last: str) -> DataFrame:
     cut = F.array(*[F.struct(F.lit(level).alias("level"), F.col(a).alias("a"), F.col(b).alias("b"))
                     for level in range(_LEVELS) for a, b in ((f"from{level}", f"head{level}"), (f"tail{level}", f"to{level}"))])
     runs = rest.select(F.explode(F.filter(cut, lambda r: r["a"] < r["b"])).alias("r"))
-    found = runs.select("r.level", F.explode(F.sequence(F.col("r.a"), F.col("r.b") - 1)).alias("piece")).distinct()
-    return _outermost(found)
-
-
-def _outermost(found: DataFrame) -> DataFrame:
-    """Pieces that lie in no other piece."""
-    above = found.select("level", "piece", F.explode(F.sequence(F.col("level") + 1, F.lit(_LEVELS))).alias("upper"))
-    above = above.withColumn("holder", F.expr(f"shiftright(piece, {RADIX_BITS} * (upper - level))"))
-    holders = found.select(F.col("level").alias("upper"), F.col("piece").alias("holder"))
-    held = above.join(holders, ["upper", "holder"], "left_semi").select("level", "piece").distinct()
-    return found.join(held, ["level", "piece"], "left_anti")
+    return runs.select("r.level", F.explode(F.sequence(F.col("r.a"), F.col("r.b") - 1)).alias("piece"))
 
 
 def interval_semi_join(points: DataFrame, column: str, intervals: DataFrame, first: str, last: str) -> DataFrame:
     """The rows of ``points`` that lie in an interval, each once; ``first`` and ``last`` belong to the interval. Null points lie in none."""
-    cover = pieces(intervals, first, last)
-    # At most one row for each length of a piece.
-    levels = [r[0] for r in cover.select("level").distinct().collect()]
-    if not levels:
+    bounds, runs = merged(intervals, first, last)
+    if runs is None:
         return points.limit(0)
+    # One row for each cell: its runs in their order.
+    listed = runs.groupBy(F.col("cell").alias("__cell")).agg(F.sort_array(F.collect_list(F.struct("low", "high"))).alias("runs")).select(
+        "__cell", F.col("runs.low").alias("__low"), F.col("runs.high").alias("__high"), _halves(F.size("runs")).alias("__halves"))
     place = _place(F.col(column), points.schema[column].dataType)
-    keys = F.array(*[F.struct(F.lit(level).alias("level"), F.shiftright(place, RADIX_BITS * level).alias("piece")) for level in sorted(levels)])
-    name = "__point"
-    looked = points.withColumn(name, F.explode(keys))
-    cover = cover.select(F.col("level").alias("__level"), F.col("piece").alias("__piece"))
-    met = looked.join(cover, (F.col(f"{name}.level") == F.col("__level")) & (F.col(f"{name}.piece") == F.col("__piece")), "left_semi")
-    return met.drop(name)
+    looked = points.withColumns({"__at": place, "__in": _cell(bounds, place)})
+    inside = F.get("__high", _upto(F.col("__low"), F.col("__halves"), F.col("__at")) - 1) > F.col("__at")
+    return looked.join(listed, (F.col("__in") == F.col("__cell")) & inside, "left_semi").drop("__at", "__in")

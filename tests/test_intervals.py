@@ -54,3 +54,28 @@ def test_plan_is_a_hash_join(spark):
     _, got = joined(spark, list(range(50)), [(3, 9)])
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("name", ["apart", "overlapping", "one long"])
+def test_pieces_and_rows_do_not_grow_with_the_length_of_spans(spark, name):
+    """A fine scale gave each span up to 200 pieces; what is joined is now at most a run for each span and one for each cell."""
+    n, minute = 3000, 60_000_000
+    spans = {"apart": [(k * 10 * minute + 7 * k, k * 10 * minute + 4 * minute + k) for k in range(n)],
+             "overlapping": [(k * minute // 10 + 7 * k, k * minute // 10 + 4 * minute + k) for k in range(n)],
+             "one long": [(0, n * minute)] + [(k * minute + 3, k * minute + 9) for k in range(n)]}[name]
+    df = spark.createDataFrame(spans, SPAN)
+    bounds, runs = intervals.merged(df, "a", "b")
+    rows = [(r.cell, r.low, r.high) for r in runs.orderBy("low").collect()]
+    assert len(rows) <= n + len(bounds) and (name == "apart" or len(rows) <= len(bounds) + 1)
+    assert all(x[2] <= y[1] for x, y in zip(rows, rows[1:]))
+    at = [p for a, b in spans[::50] for p in (a - 1, a, (a + b) // 2, b, b + 1)]
+    want = [i for i, p in enumerate(at) if any(a <= p <= b for a, b in spans)]
+    assert [r.id for r in joined(spark, at, spans)[1].orderBy("id").collect()] == want
+
+
+def test_numbers_beyond_those_that_a_double_holds(spark):
+    rng, base = random.Random(5), 1 << 61
+    spans = [(base + a, base + a + rng.randrange(9)) for a in rng.sample(range(40_000), 2500)]
+    at = [base + rng.randrange(-5, 40_050) for _ in range(3000)]
+    want = [i for i, p in enumerate(at) if any(a <= p <= b for a, b in spans)]
+    assert [r.id for r in joined(spark, at, spans)[1].orderBy("id").collect()] == want
