@@ -157,7 +157,7 @@ def published_unloaded_days(spark, sf):
 @register
 def surrogate_key(spark, sf):
     """The dense key of every pitch, next to values that identify the pitch."""
-    return sample_feed.numbered(sample_feed.derive(spark, sf)).select(
+    return sample_feed.derived(sample_feed.numbered(sample_feed.base(spark, sf))).select(
         "pitch_id", DATE_COLUMN, "launch_speed", "plate_x", "hc_x", "hc_y")
 
 

@@ -59,20 +59,40 @@ PITCH_COLUMNS = [c for c in EVENT_COLUMNS if c != "is_hit"]
 _written: dict[tuple[str, str], str] = {}
 
 
+def base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The few columns that order every pitch and give all others."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    return lines.selectExpr(*_SOURCE, *[f"{e} AS {n}" for n, e in BASE.items()])
+
+
+def derived(df: DataFrame) -> DataFrame:
+    """Pitches and their stored labels, from the columns of ``base``."""
+    return df.selectExpr("*", *[f"{e} AS {n}" for n, e in DERIVED.items()])
+
+
 def derive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every pitch and its stored label, with the source columns that order them."""
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    base = lines.selectExpr(*_SOURCE, *[f"{e} AS {n}" for n, e in BASE.items()])
-    return base.selectExpr("*", *[f"{e} AS {n}" for n, e in DERIVED.items()])
+    return derived(base(spark, sf_dir))
 
 
 def numbered(df: DataFrame) -> DataFrame:
-    """Derived pitches with their dense position in day order."""
+    """Rows of ``base`` with their dense position in day order. What is derived from them is better derived afterwards: it need not be shuffled."""
     # Order keys of one day are cut into cells, so that a day of any size is numbered by many tasks.
     cells = [F.col("game_date"), F.shiftright(F.col("l_orderkey"), 20)]
     return ordered_index(df, "pitch_id", cells, [F.col(c) for c in ORDER])
 
 
+def laid_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The numbered pitches as the feed stores them: dealt by ranges of the key, in order.
+
+    Both shuffles carry the columns of the source alone; the feed's own, four times as wide, are derived behind them. The season rises
+    with the key; named first, it is the order that a partitioned write asks for, so that the write does not sort again.
+    """
+    placed = numbered(base(spark, sf_dir)).withColumn("season", F.year("game_date")).repartitionByRange("pitch_id")
+    rows = derived(placed.sortWithinPartitions("season", "pitch_id"))
+    return rows.select("pitch_id", *PITCH_COLUMNS, F.col("stored_label").alias("is_hit"), "season")
+
+
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The numbered pitches, derived once per session and kept as a table in the shared folder.
 
@@ -82,10 +102,7 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _written:
         path = f"{shared_folder(spark)}/inplay-feed-{uuid.uuid4().hex}"
-        rows = numbered(derive(spark, sf_dir)).select(
-            "pitch_id", *PITCH_COLUMNS, F.col("stored_label").alias("is_hit"), F.year("game_date").alias("season"))
-        (rows.repartitionByRange("pitch_id").sortWithinPartitions("pitch_id")
-             .write.partitionBy("season").parquet(path))
+        laid_out(spark, sf_dir).write.partitionBy("season").parquet(path)
         _written[key] = path
     return spark.read.parquet(_written[key])
 
