@@ -109,8 +109,22 @@ def _accumulate(df, sums, levels, order_by, within, grand_suffix, wanted):
 
 
 def ordered_index(
-    df: DataFrame, name: str, levels: Sequence[Column], order_by: Sequence[Column], start: int = 1
+    df: DataFrame, name: str, levels: Sequence[Column | str], order_by: Sequence[Column], start: int = 1
 ) -> DataFrame:
-    """Add a dense 64-bit position, counted from ``start`` in the order of levels, then ``order_by``."""
-    counted = running_totals(df, {name: F.lit(1).cast("bigint")}, levels, order_by)
-    return counted.withColumn(name, F.col(name) + F.lit(start - 1)) if start != 1 else counted
+    """Add a dense 64-bit position, counted from ``start`` in the order of levels, then ``order_by``.
+
+    The rows come dealt by ranges of the levels and in their order, so a write in that order needs no other shuffle or
+    sort. A level that is a column of ``df`` is best given by its name: what follows then knows it is sorted by it.
+    What lies before a cell joins its rows as one more row, through the only shuffle of the rows; the cells are
+    counted by a pass of their own, so ``df`` has to give the same rows whenever it is computed.
+    """
+    keys = [c if isinstance(c, str) else f"__level{i}" for i, c in enumerate(levels)]
+    placed = df.select("*", *[c.alias(k) for c, k in zip(levels, keys) if not isinstance(c, str)])
+    cells = running_totals(placed.groupBy(*keys).agg(F.count("*").alias("__n")), {"__upto": F.col("__n")},
+                           [F.col(k) for k in keys[:-1]], [F.col(keys[-1])])
+    heads = cells.select(*keys, (F.col("__upto") - F.col("__n") + F.lit(start - 1)).alias("__before"))
+    rows = placed.withColumn("__before", F.lit(None).cast("bigint")).unionByName(heads, allowMissingColumns=True)
+    upto = (Window.partitionBy(*keys).orderBy(F.col("__before").asc_nulls_last(), *order_by)
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    counted = rows.repartitionByRange(*keys).withColumn(name, F.sum(F.coalesce("__before", F.lit(1).cast("bigint"))).over(upto))
+    return counted.where(F.col("__before").isNull()).select(*df.columns, name)

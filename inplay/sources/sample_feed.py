@@ -76,20 +76,19 @@ def derive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def numbered(df: DataFrame) -> DataFrame:
-    """Rows of ``base`` with their dense position in day order. What is derived from them is better derived afterwards: it need not be shuffled."""
+    """Rows of ``base`` with their season and dense position in day order, dealt by ranges of it. What is derived from them is better derived afterwards: it need not be shuffled."""
     # Order keys of one day are cut into cells, so that a day of any size is numbered by many tasks.
-    cells = [F.col("game_date"), F.shiftright(F.col("l_orderkey"), 20)]
-    return ordered_index(df, "pitch_id", cells, [F.col(c) for c in ORDER])
+    cells = ["season", "game_date", F.shiftright(F.col("l_orderkey"), 20)]
+    return ordered_index(df.withColumn("season", F.year("game_date")), "pitch_id", cells, [F.col(c) for c in ORDER if c != "game_date"])
 
 
 def laid_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The numbered pitches as the feed stores them: dealt by ranges of the key, in order.
 
-    Both shuffles carry the columns of the source alone; the feed's own, four times as wide, are derived behind them. The season rises
-    with the key; named first, it is the order that a partitioned write asks for, so that the write does not sort again.
+    The one shuffle, that of the numbering, carries the columns of the source alone; the feed's own, four times as wide, are derived
+    behind it. The season rises with the key; as the first level it is the order that a partitioned write asks for, so that the write does not sort again.
     """
-    placed = numbered(base(spark, sf_dir)).withColumn("season", F.year("game_date")).repartitionByRange("pitch_id")
-    rows = derived(placed.sortWithinPartitions("season", "pitch_id"))
+    rows = derived(numbered(base(spark, sf_dir)))
     return rows.select("pitch_id", *PITCH_COLUMNS, F.col("stored_label").alias("is_hit"), "season")
 
 

@@ -33,3 +33,9 @@ def test_keys_follow_the_order(spark, lines):
     every = sample_feed.derive(spark, lines).orderBy(*sample_feed.ORDER).collect()
     assert [r.pitch_id for r in got] == list(range(1, len(every) + 1))
     assert [(r.game_date, r.launch_angle) for r in got] == [(r.game_date, r.launch_angle) for r in every]
+
+
+def test_rows_are_shuffled_once(spark, lines):
+    plan = sample_feed.laid_out(spark, lines)._jdf.queryExecution().optimizedPlan()
+    dealt = [n.output().mkString(" ") for n in nodes(plan) if n.nodeName() == "RepartitionByExpression"]
+    assert sum("l_suppkey" in x for x in dealt) == 1

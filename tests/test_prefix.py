@@ -77,3 +77,18 @@ def test_quantile_with_a_coarse_sketch_stays_exact(spark):
 
 def test_quantile_of_nothing(spark):
     assert exact_quantiles(spark.createDataFrame([], "x double"), ["x"]) == {"x": None}
+
+
+def test_index_comes_dealt_and_in_order(spark):
+    """A position's rows lie in its order, over several tasks; null levels come first, equal rows get different positions."""
+    values = [None if i % 13 == 0 else i * 37 % 101 for i in range(500)]
+    df = spark.createDataFrame([(v, i % 7) for i, v in enumerate(values)], "day long, part long").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        indexed = ordered_index(df, "i", ["day", F.shiftright("part", 1)], [F.col("part")], start=10)
+        got = indexed.withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [r.i for r in got] == list(range(10, 510)) and len({r.task for r in got}) > 1
+    want = sorted(((-1 if v is None else v), i % 7) for i, v in enumerate(values))
+    assert [(-1 if r.day is None else r.day, r.part) for r in got] == want
