@@ -13,7 +13,7 @@ from inplay.schema import DATE_COLUMN, EVENT_COLUMNS, EVENT_SCHEMA, KEY_COLUMN
 from inplay.sources.landing import in_days
 
 # Bits of the row hash that cut a day into cells for numbering.
-_CELL_BITS = 14
+_CELL_BITS = 10
 
 
 def require_columns_exact(df: DataFrame, expected: Sequence[str]) -> DataFrame:
@@ -111,11 +111,12 @@ def assign_keys(rows: DataFrame, after: int = 0, name: str = KEY_COLUMN) -> Data
 
     Inside a day rows are ordered by a hash of the whole row, so a day of any size is numbered by many
     tasks, and loading the same rows again gives the same keys (equal rows are interchangeable).
+    The result is dealt by ranges of the key and in its order.
     """
     columns = [F.col(c) for c in rows.columns]
     hashed = rows.withColumn("__h", F.xxhash64(*columns))
     cell = F.shiftright(F.col("__h"), 64 - _CELL_BITS)
-    keyed = ordered_index(hashed, name, [F.col(DATE_COLUMN), cell], [F.col("__h"), *columns], after + 1)
+    keyed = ordered_index(hashed, name, [DATE_COLUMN, cell], [F.col("__h"), *columns], after + 1)
     return keyed.select(name, *rows.columns)
 
 

@@ -92,7 +92,7 @@ class PublishedTable:
         """Write rows with their keys where no reader sees them, and return the name of the load.
 
         ``label`` says what is loaded on top of what; a whole stage of the same label, left by a load that died, is taken
-        instead of writing it again.
+        instead of writing it again. Rows are written as they lie: ``assign_keys`` gives them in ranges of the day; others are better dealt by the day first.
         """
         for name in self._names(self._data()):
             load = name.removeprefix("load=")
@@ -100,8 +100,8 @@ class PublishedTable:
                 return load
         load = f"{label}-{uuid.uuid4().hex}"
         data = [c for c in self.schema.names if c != self.day]
-        # A quiet day is one file, a heavy day is split over many.
-        rows.select(*data, self.day).hint("rebalance", self.day).write.partitionBy(self.day).parquet(self._data(load))
+        # A quiet day is one file, or two at the end of a range; a heavy day is split over many.
+        rows.select(*data, self.day).write.partitionBy(self.day).parquet(self._data(load))
         return load
 
     def publish(self, load: str, after: Sequence[str]) -> None:
