@@ -189,6 +189,7 @@ def distance_within(a: str, b: str, most: int) -> bool:
     """Whether the edit distance is at most ``most``; columns of the table are bits of an integer.
 
     Of longer lines, it is enough if keeping what their words have in common and replacing the rest takes so few edits.
+    Along the diagonal that ends in the last cell of the table distances never fall, so one above ``most`` ends the comparison.
     """
     if abs(len(a) - len(b)) > most:
         return False
@@ -208,7 +209,8 @@ def distance_within(a: str, b: str, most: int) -> bool:
         where[c] = where.get(c, 0) | 1 << i
     full, top = (1 << len(a)) - 1, 1 << max(0, len(a) - 1)
     up, down, score = full, 0, len(a)
-    for c in b:
+    ahead = len(a) - len(b)
+    for j, c in enumerate(b, 1):
         match = where.get(c, 0)
         across = (((match & up) + up) ^ up) | match
         plus, minus = down | ~(across | up) & full, up & across
@@ -216,6 +218,8 @@ def distance_within(a: str, b: str, most: int) -> bool:
         plus, minus = plus << 1 | 1, minus << 1
         vertical = match | down
         up, down = (minus | ~(vertical | plus)) & full, plus & vertical & full
+        if not j & 15 and j + ahead > 0 and score - (up >> j + ahead).bit_count() + (down >> j + ahead).bit_count() > most:
+            return False
     return score <= most
 
 
@@ -365,10 +369,11 @@ def letter_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def links_between(component: np.ndarray, texts: list[str], threshold: float) -> list[tuple[int, int]]:
     """Places (i, j) of near lines that connect all components which near lines connect; no more links than components.
 
-    Lines of components that a link has joined are not compared again. An edit changes a line's length by one at most, and
-    takes and gives one letter at most, which refuses most of the others.
+    Lines of components that a link has joined are not compared again. An edit changes a line's length by one at most,
+    takes and gives one letter at most, and changes three runs of three characters at most, which refuses most of the others.
     """
     size, letters = letter_counts(texts)
+    grams: list[Counter | None] = [None] * len(texts)
     own, links = component.copy(), []
     for i in range(len(texts)):
         after = np.arange(i + 1, len(texts))
@@ -377,14 +382,13 @@ def links_between(component: np.ndarray, texts: list[str], threshold: float) ->
         most = ((1 - threshold) * longer + 1e-9).astype(np.int64)
         more = letters[after] - letters[i]
         close = np.maximum(np.maximum(more, 0).sum(1), np.maximum(-more, 0).sum(1)) <= most
-        grams = None
         for j, k in zip(after[close].tolist(), most[close].tolist()):
             if own[j] == own[i]:
                 continue
-            if grams is None:
-                grams = Counter(zip(texts[i], texts[i][1:], texts[i][2:]))
-            # An edit changes three runs of three characters at most.
-            if max(size[i], size[j]) - 2 - (grams & Counter(zip(texts[j], texts[j][1:], texts[j][2:]))).total() <= 3 * k and distance_within(texts[i], texts[j], k):
+            for at in (i, j):
+                if grams[at] is None:
+                    grams[at] = Counter(zip(texts[at], texts[at][1:], texts[at][2:]))
+            if max(size[i], size[j]) - 2 - (grams[i] & grams[j]).total() <= 3 * k and distance_within(texts[i], texts[j], k):
                 links.append((i, j))
                 own[own == own[j]] = own[i]
     return links

@@ -197,3 +197,31 @@ def test_distance():
         b = "".join(rng.choice("abü") for _ in range(rng.randrange(12)))
         for most in range(6):
             assert lines.distance_within(a, b, most) == (distance(a, b) <= most), (a, b, most)
+
+
+def test_distance_ends_early():
+    """Long lines that share letters but not their order: the same answers as the whole table gives, soon for those far apart."""
+    rng = random.Random(8)
+    for k in range(150):
+        a = "".join(rng.choice("abcdü ") for _ in range(rng.randrange(20, 130)))
+        b = "".join(rng.choice("abcdü ") if rng.random() < k % 7 / 8 else x for x in a)[k % 3:len(a) - k % 5]
+        whole = distance(a, b)
+        for most in {0, whole // 3, whole - 1, whole, whole + 1, len(a)}:
+            assert lines.distance_within(a, b, most) == (whole <= most) == lines.distance_within(b, a, most), (a, b, most)
+
+    class Read(str):
+        """A line that counts how many of its characters have been asked for one after the other."""
+        seen = 0
+
+        def __getitem__(self, at):
+            return Read(super().__getitem__(at)) if isinstance(at, slice) else super().__getitem__(at)
+
+        def __iter__(self):
+            for c in super().__iter__():
+                Read.seen += 1
+                yield c
+
+    a, b = ("".join(rng.choice("abcdefgh") for _ in range(2000)) for _ in range(2))
+    assert not lines.distance_within("x" + a, Read("y" + b), 200)
+    # Those of the first line are not counted; before, all of the second one were read.
+    assert 0 < Read.seen < 1000
