@@ -19,6 +19,7 @@ whole. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import itertools
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Sequence
@@ -185,54 +186,67 @@ def _levels(count: np.ndarray, wanted: np.ndarray) -> Iterator[tuple[int, np.nda
             yield level, chosen
 
 
-def distance_within(a: str, b: str, most: int) -> bool:
-    """Whether the edit distance is at most ``most``; columns of the table are bits of an integer.
+def distance_within(a: str, b: str, most: int, likely: bool = True) -> bool:
+    """Whether the edit distance is at most ``most``.
 
-    Of longer lines, it is enough if keeping what their words have in common and replacing the rest takes so few edits.
-    Along the diagonal that ends in the last cell of the table distances never fall, so one above ``most`` ends the comparison.
+    Of longer lines that are ``likely`` near, it is enough if keeping what their words have in common and editing the rest takes so few edits.
     """
     if abs(len(a) - len(b)) > most:
         return False
+    a, b = _trimmed(a, b)
+    if max(len(a), len(b)) <= most:
+        return True
+    if likely and len(a) > 64 and _word_edits(a, b, most) <= most:
+        return True
+    return _distance(a, b, most) <= most
+
+
+def _trimmed(a: str, b: str) -> tuple[str, str]:
+    """Both without the characters that they begin and end with alike."""
     at, end = 0, min(len(a), len(b))
     while at < end and a[at] == b[at]:
         at += 1
     back = 0
     while back < end - at and a[-1 - back] == b[-1 - back]:
         back += 1
-    a, b = a[at:len(a) - back], b[at:len(b) - back]
-    if max(len(a), len(b)) <= most:
-        return True
-    if len(a) > 64 and _word_edits(a, b) <= most:
-        return True
+    return a[at:len(a) - back], b[at:len(b) - back]
+
+
+def _distance(a: str, b: str, most: int) -> int:
+    """The edit distance, or any number above ``most`` if it is above; columns of the table are bits of an integer.
+
+    Along the diagonal that ends in the last cell of the table distances never fall, so one above ``most`` ends the comparison.
+    """
     where: dict[str, int] = {}
     for i, c in enumerate(a):
         where[c] = where.get(c, 0) | 1 << i
-    full, top = (1 << len(a)) - 1, 1 << max(0, len(a) - 1)
-    up, down, score = full, 0, len(a)
+    full = (1 << len(a)) - 1
+    up, down = full, 0
     ahead = len(a) - len(b)
     for j, c in enumerate(b, 1):
         match = where.get(c, 0)
-        across = (((match & up) + up) ^ up) | match
-        plus, minus = down | ~(across | up) & full, up & across
-        score += bool(plus & top) - bool(minus & top)
-        plus, minus = plus << 1 | 1, minus << 1
-        vertical = match | down
-        up, down = (minus | ~(vertical | plus)) & full, plus & vertical & full
-        if not j & 15 and j + ahead > 0 and score - (up >> j + ahead).bit_count() + (down >> j + ahead).bit_count() > most:
-            return False
-    return score <= most
+        across = ((((match & up) + up) ^ up) | match | down) & full
+        plus = ((down | (across | up) ^ full) << 1 | 1) & full
+        minus = (up & across) << 1
+        up, down = (minus | (across | plus) ^ full) & full, plus & across
+        if not j & 15 and j + ahead > 0:
+            rows = (1 << j + ahead) - 1
+            if (score := j + (up & rows).bit_count() - (down & rows).bit_count()) > most:
+                return score
+    return len(b) + up.bit_count() - down.bit_count()
 
 
-def _word_edits(a: str, b: str) -> int:
-    """Edits that turn ``a`` into ``b`` if whole words are kept or replaced: no fewer than the edit distance.
+def _word_edits(a: str, b: str, most: int) -> int:
+    """Edits that turn ``a`` into ``b`` if words are kept and what lies between is edited: no fewer than the edit distance; above ``most`` any number.
 
-    Words that occur once in both are kept as far as their order is the same, and equal words next to those.
+    Words that occur once in both, or in long lines begin three words that do, are kept as far as their order is the same, and equal words next to those.
     """
     x, y = a.split(" "), b.split(" ")
-    once = {w for w, n in Counter(y).items() if n == 1}
-    where = {w: j for j, w in enumerate(y) if w in once}
-    again = Counter(x)
-    places = [(i, where[w]) for i, w in enumerate(x) if w in where and again[w] == 1]
+    marks = [list(zip(w, w[1:], w[2:])) if min(len(x), len(y)) > 100 else w for w in (x, y)]
+    once = {w for w, n in Counter(marks[1]).items() if n == 1}
+    where = {w: j for j, w in enumerate(marks[1]) if w in once}
+    again = Counter(marks[0])
+    places = [(i, where[w]) for i, w in enumerate(marks[0]) if w in where and again[w] == 1]
     # The longest run of such words in the same order, by patience sorting.
     ends: list[int] = []
     best: list[int] = []
@@ -246,7 +260,7 @@ def _word_edits(a: str, b: str) -> int:
     while k >= 0:
         kept.append(places[k])
         k = back[k]
-    edits, i, j = 0, 0, 0
+    rest, edits, i, j = [], 0, 0, 0
     for p, q in reversed(kept):
         while i < p and j < q and x[i] == y[j]:
             i, j = i + 1, j + 1
@@ -254,8 +268,19 @@ def _word_edits(a: str, b: str) -> int:
         while e > i and f > j and x[e - 1] == y[f - 1]:
             e, f = e - 1, f - 1
         if e > i or f > j:
-            edits += max(sum(map(len, x[i:e])) + e - i, sum(map(len, y[j:f])) + f - j)
+            rest.append((" ".join(x[i:e]) + " " * (e > i), " ".join(y[j:f]) + " " * (f > j)))
+            edits += max(map(len, rest[-1]))
         i, j = p + 1, q + 1
+    # Replaced whole they may take too many edits; then the longest are edited letter by letter, until it is enough.
+    for left, right in sorted(rest, key=lambda r: -max(map(len, r))):
+        if edits <= most:
+            break
+        whole = max(len(left), len(right))
+        # A long one is as much work as the lines.
+        if 2 * whole > min(len(a), len(b)):
+            return most + 1
+        if left and right:
+            edits += _distance(*_trimmed(left, right), whole) - whole
     return edits
 
 
@@ -282,7 +307,17 @@ def line_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def folded_lines(column: pa.Array) -> list[bytes]:
     """The lines of all texts as nodes take them: words joined by one space."""
-    return [b" ".join(x.split()) for x in split_lines(column, _FOLD)[0].to_pylist()]
+    lines = split_lines(column, _FOLD)[0]
+    data, cut = text_bytes(lines)
+    solid = data > 32
+    # The first white space behind a word stays for the time being, unless it begins the next line.
+    keep = solid.copy()
+    keep[1:] |= solid[:-1]
+    begin = cut[:-1][cut[:-1] < cut[1:]]
+    keep[begin] = solid[begin]
+    cut = np.concatenate([[0], np.cumsum(keep)])[cut]
+    raw = data[keep].tobytes()
+    return [raw[a:b].removesuffix(b" ") for a, b in itertools.pairwise(cut.tolist())]
 
 
 def line_hashes(folded: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -337,26 +372,49 @@ def verified(text: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
     return stored(met.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "links")
 
 
+def gram_counts(column: pa.Array) -> np.ndarray:
+    """How many runs of three bytes each text has in each of 1024 classes. Only ASCII and lead bytes are taken, one for each character."""
+    data, offsets = text_bytes(column)
+    lead = (data & 0xC0) != 0x80
+    begin = np.concatenate([[0], np.cumsum(lead)])[offsets]
+    code = data[lead].astype(np.uint32)
+    if len(code) < 3:
+        return np.zeros((len(column), 1024), np.int32)
+    owner = np.repeat(np.arange(len(column)), np.diff(begin))
+    gram = ((code[:-2] * np.uint32(0x9E3779B1) + code[1:-1] * np.uint32(0x85EBCA77) + code[2:] * np.uint32(0xC2B2AE3D)) * np.uint32(0x27D4EB2F)) >> np.uint32(22)
+    inside = owner[:-2] == owner[2:]
+    return np.bincount(owner[:-2][inside] * 1024 + gram[inside], minlength=len(column) * 1024).astype(np.int32).reshape(-1, 1024)
+
+
+def more_than(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """By how much the counts in a row of ``left`` and ``right`` go over the other's, in sum: the larger of both sums."""
+    more = left - right
+    both, apart = more.sum(1), np.abs(more).sum(1)
+    return (apart + np.abs(both)) // 2
+
+
 def grams_apart(left: pa.Array, right: pa.Array) -> np.ndarray:
     """For each pair of texts how many runs of three bytes one has more than the other, at least; an edit changes three characters' runs.
 
-    Only ASCII and lead bytes are taken, one for each character. Runs are counted in 1024 classes, which can only bring texts nearer.
+    Runs are counted in classes, which can only bring texts nearer.
     """
-    counts = []
-    for column in (left, right):
-        data, offsets = text_bytes(column)
-        lead = (data & 0xC0) != 0x80
-        begin = np.concatenate([[0], np.cumsum(lead)])[offsets]
-        code = data[lead].astype(np.uint32)
-        owner = np.repeat(np.arange(len(column)), np.diff(begin))
-        if len(code) < 3:
-            counts.append(np.zeros((len(column), 1024), np.int32))
-            continue
-        gram = ((code[:-2] * np.uint32(0x9E3779B1) + code[1:-1] * np.uint32(0x85EBCA77) + code[2:] * np.uint32(0xC2B2AE3D)) * np.uint32(0x27D4EB2F)) >> np.uint32(22)
-        inside = owner[:-2] == owner[2:]
-        counts.append(np.bincount(owner[:-2][inside] * 1024 + gram[inside], minlength=len(column) * 1024).astype(np.int32).reshape(-1, 1024))
-    more = counts[0] - counts[1]
-    return np.maximum(np.maximum(more, 0).sum(1), np.maximum(-more, 0).sum(1))
+    return more_than(gram_counts(left), gram_counts(right))
+
+
+def all_grams(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of three characters of a text, in order, and how often it has each."""
+    code = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
+    gram = np.sort(code[:-2] << np.uint64(42) | code[1:-1] << np.uint64(21) | code[2:])
+    begin = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]])[:len(gram)])
+    return gram[begin], np.diff(begin, append=len(gram))
+
+
+def in_common(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray]) -> int:
+    """How many runs two texts have in common, each as often as both have it."""
+    if not len(left[0]) or not len(right[0]):
+        return 0
+    at = np.minimum(np.searchsorted(left[0], right[0]), len(left[0]) - 1)
+    return int(np.minimum(left[1][at], right[1])[left[0][at] == right[0]].sum())
 
 
 def letter_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -373,22 +431,25 @@ def links_between(component: np.ndarray, texts: list[str], threshold: float) ->
     takes and gives one letter at most, and changes three runs of three characters at most, which refuses most of the others.
     """
     size, letters = letter_counts(texts)
-    grams: list[Counter | None] = [None] * len(texts)
-    own, links = component.copy(), []
+    column = pa.array(texts, pa.string())
+    grams: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(texts)
+    own, links, counts = component.copy(), [], None
     for i in range(len(texts)):
         after = np.arange(i + 1, len(texts))
         after = after[own[after] != own[i]]
         longer = np.maximum(size[after], size[i])
         most = ((1 - threshold) * longer + 1e-9).astype(np.int64)
-        more = letters[after] - letters[i]
-        close = np.maximum(np.maximum(more, 0).sum(1), np.maximum(-more, 0).sum(1)) <= most
+        close = np.flatnonzero(more_than(letters[after], letters[i]) <= most)
+        if len(close) and counts is None:
+            counts = gram_counts(column)
+        close = close[more_than(counts[after[close]], counts[i]) <= 3 * most[close]] if len(close) else close
         for j, k in zip(after[close].tolist(), most[close].tolist()):
             if own[j] == own[i]:
                 continue
             for at in (i, j):
                 if grams[at] is None:
-                    grams[at] = Counter(zip(texts[at], texts[at][1:], texts[at][2:]))
-            if max(size[i], size[j]) - 2 - (grams[i] & grams[j]).total() <= 3 * k and distance_within(texts[i], texts[j], k):
+                    grams[at] = all_grams(texts[at])
+            if max(size[i], size[j]) - 2 - in_common(grams[i], grams[j]) <= 3 * k and distance_within(texts[i], texts[j], k, likely=False):
                 links.append((i, j))
                 own[own == own[j]] = own[i]
     return links
@@ -430,25 +491,72 @@ def open_links(rows: DataFrame, threshold: float) -> DataFrame:
 
 
 def shared_blocks(nodes: DataFrame) -> DataFrame:
-    """(key, node, low): the nodes of every block that several share, with the bucket's first. ``nodes`` has (node, keys)."""
-    keyed = nodes.select(F.explode("keys").alias("key"), "node")
-    shared = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key", "low")
-    return stored(keyed.join(shared, "key").select("key", "node", "low"), "members")
+    """(key, n, node, low): the ``n`` nodes of every block that several share, with the bucket's first. ``nodes`` has (node, keys).
+
+    ``key`` stands for the nodes of a bucket: the same for blocks with the same nodes. Keys are dealt out many to a row, as
+    there are over ten for each node and few are shared; a task sorts those of one part, of which there are as many as
+    partitions in a shuffle.
+    """
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key = batch.column(1).flatten().to_numpy()
+            node = np.repeat(batch.column(0).to_numpy(), batch.column(1).value_lengths().to_numpy())
+            part = (mix(key.view(np.uint64)) % np.uint64(parts)).astype(np.int32)
+            order = np.argsort(part, kind="stable")
+            size = np.bincount(part, minlength=parts)
+            some = np.flatnonzero(size)
+            ends = pa.array(np.concatenate([[0], np.cumsum(size[some])]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *(pa.ListArray.from_arrays(ends, pa.array(x[order])) for x in (key, node))], ["part", "keys", "nodes"])
+
+    def run(group: pa.Table) -> pa.Table:
+        key, node = (group[c].combine_chunks().flatten().to_numpy() for c in ("keys", "nodes"))
+        order = np.argsort(key)
+        key, node = key[order], node[order]
+        same = np.concatenate([[False], key[1:] == key[:-1], [False]])
+        key, node = (x[same[1:] | same[:-1]] for x in (key, node))
+        # A node may have a key twice.
+        order = np.lexsort((node, key))
+        key, node = key[order], node[order]
+        once = np.concatenate([[True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])])[:len(key)]
+        key, node = key[once], node[once]
+        begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[:len(key)])
+        n = np.diff(begin, append=len(key))
+        several = np.repeat(n > 1, n)
+        low = np.repeat(node[begin], n)
+        name = mix(np.add.reduceat(mix(node.view(np.uint64) + _ODD), begin) + n.astype(np.uint64)) if len(begin) else np.zeros(0, np.uint64)
+        return pa.table({"key": np.repeat(name, n).view(np.int64)[several], "n": np.repeat(n, n)[several], "node": node[several], "low": low[several]})
+
+    dealt = nodes.select("node", "keys").mapInArrow(deal, "part int, keys array<long>, nodes array<long>")
+    return stored(dealt.groupBy("part").applyInArrow(run, "key long, n long, node long, low long"), "members")
+
+
+def joined_components(groups: DataFrame, more: DataFrame) -> DataFrame:
+    """(node, component) as ``components`` gives it for the links that have led to ``groups`` together with those of ``more`` (a, b)."""
+    ends = more
+    for end in ("a", "b"):
+        named = groups.select(F.col("node").alias(end), F.col("component").alias("known"))
+        ends = ends.join(named, end, "left").withColumn(end, F.coalesce("known", end)).drop("known")
+    # Components are the nodes now; one that is no component yet is a line by itself.
+    moved = stored(components(ends).withColumnRenamed("component", "low"), "moved")
+    old = groups.join(moved.withColumnRenamed("node", "component"), "component", "left").select("node", F.coalesce("low", "component").alias("component"))
+    return old.union(moved.join(groups, "node", "left_anti").select("node", "low"))
 
 
 def _kept_places(known: DataFrame, threshold: float, id_col: str, text_col: str) -> DataFrame:
     """(id, places): the lines that stay of each text."""
     nodes = stored(line_rows(known, id_col, text_col).groupBy("h1", "h2").agg(F.min(F.struct("id", "line")).alias("first"), F.min("keys").alias("keys")), "nodes")
     members = shared_blocks(nodes.select(F.col("h1").alias("node"), "keys"))
-    with scratch(known.sparkSession):
-        star = stored(members.where("node > low").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct(), "pairs")
-        links = verified(line_texts(known, star, text_col), star, threshold)
-        first = stored(links, "links", keep=True)
+    star = stored(members.where("node > low").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct(), "pairs")
+    text = line_texts(known, star, text_col)
+    groups = stored(components(verified(text, star, threshold)), "groups")
     # Of two nodes the first has been compared with the other.
-    rows = stored(open_members(members.select("key", "node").distinct(), components(first), least=3), "open")
-    text = line_texts(known, rows.select(F.col("node").alias("a"), F.col("node").alias("b")), text_col)
+    rows = open_members(members.where("n > 2").select("key", "node").distinct(), groups, least=3)
     more = stored(open_links(rows.join(text, "node"), threshold), "links")
-    groups = components(first.unionByName(more)).withColumnRenamed("node", "h1")
+    groups = stored(joined_components(groups, more).withColumnRenamed("node", "h1"), "groups")
+    # The same condition for both, so that they share a shuffle.
+    nodes = nodes.where("h1 IS NOT NULL").select("h1", "first")
     linked = nodes.join(groups, "h1").groupBy("component").agg(F.min("first").alias("first"))
     kept = nodes.join(groups, "h1", "left_anti").select("first").union(linked.select("first"))
     return kept.groupBy("first.id").agg(F.collect_list("first.line").alias("places"))

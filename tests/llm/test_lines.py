@@ -225,3 +225,73 @@ def test_distance_ends_early():
     assert not lines.distance_within("x" + a, Read("y" + b), 200)
     # Those of the first line are not counted; before, all of the second one were read.
     assert 0 < Read.seen < 1000
+
+
+def test_texts_are_read_once(spark, monkeypatch):
+    """The texts of named lines serve the pairs with a bucket's first and the open buckets; before, all documents were read for each."""
+    calls, read = [], lines.line_texts
+    monkeypatch.setattr(lines, "line_texts", lambda *a: calls.append(a) or read(*a))
+    docs = [(i, " ".join(f"word{k if k % 9 else k + i}" for k in range(60))) for i in range(4)]
+    got = lines.deduplicate_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert ordered(got) == ordered(brute(docs)[0]) and len(calls) == 1
+
+
+def test_shared_blocks(spark):
+    """Nodes by key as a plain grouping has them; keys are dealt out many to a row."""
+    rng = random.Random(3)
+    nodes = [(rng.getrandbits(64) - (1 << 63), [rng.choice([rng.randrange(-40, 40), rng.getrandbits(62)]) for _ in range(rng.randrange(5))]) for _ in range(300)]
+    groups = {}
+    for node, keys in nodes:
+        for key in keys:
+            groups.setdefault(key, set()).add(node)
+    want = Counter((len(g), n, min(g)) for g in groups.values() if len(g) > 1 for n in g)
+    frame = spark.createDataFrame(nodes, "node long, keys array<long>")
+    got = lines.shared_blocks(frame).collect()
+    assert Counter((r.n, r.node, r.low) for r in got) == want
+    by_name = {}
+    for r in got:
+        by_name.setdefault(r.key, set()).add(r.node)
+    assert sorted(map(sorted, by_name.values())) == sorted(map(sorted, {frozenset(g) for g in groups.values() if len(g) > 1}))
+    assert lines.shared_blocks(frame.where("node IS NULL")).count() == 0
+
+
+def test_joined_components(spark):
+    """The same components in two steps as in one, with links between lines that had none before."""
+    rng = random.Random(7)
+    first, more = ([(rng.randrange(200), rng.randrange(200)) for _ in range(n)] for n in (70, 40))
+    frames = [spark.createDataFrame(x, "a long, b long") for x in (first, more)]
+    whole = {tuple(r) for r in lines.components(frames[0].union(frames[1])).collect()}
+    got = [tuple(r) for r in lines.joined_components(lines.components(frames[0]), frames[1]).collect()]
+    assert set(got) == {x for x in whole} and len(got) == len(whole)
+    alone = [tuple(r) for r in lines.joined_components(lines.components(frames[0].limit(0)), frames[1].limit(0)).collect()]
+    assert alone == []
+
+
+def test_near_lines_are_not_compared_whole(monkeypatch):
+    """One letter in every third word changed: the letters of those words are compared; before, those of both lines."""
+    seen, whole = [], lines._distance
+    monkeypatch.setattr(lines, "_distance", lambda a, b, most: seen.append(len(a)) or whole(a, b, most))
+    words = [f"{chr(97 + k % 26)}{k}some" for k in range(90)]
+    other = [w if k % 3 else w[:1] + "x" + w[2:] for k, w in enumerate(words)]
+    a, b = " ".join(words), " ".join(other)
+    assert lines.distance_within(a, b, 100) and max(seen) < 10
+    assert lines.distance_within(a, b, 30) and not lines.distance_within(a, b, 29)
+
+
+def test_folded_lines_and_word_hashes():
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("aB \n\t\x1f\x7fÉ\r") for _ in range(rng.randrange(40))) for _ in range(400)] + ["", "\n", " \n ", None]
+    assert lines.folded_lines(pa.array(texts)) == [folded(x).encode() for t in texts for x in (t or "").split("\n")]
+    long = ["x" * n for n in (1, 47, 48, 49, 70_000)] + ["".join(rng.choice("ab ") for _ in range(150_000))]
+
+    def plain(word):
+        h = 1 + len(word)
+        for c in word.encode():
+            h = (h * 0x9E3779B97F4A7C15 + c) % (1 << 64)
+        return h
+
+    words = Words(pa.array(long))
+    got = words.hashes()
+    flat = [w for t in long for w in t.split()]
+    some = [k for k, w in enumerate(flat) if len(w) <= 48]
+    assert len(got) == len(flat) and got[some].tolist() == lines.mix(np.array([plain(flat[k]) for k in some], np.uint64)).tolist()
